@@ -28,7 +28,7 @@ from rushline.operators import profile as pr  # noqa: E402
 from rushline.operators import split as sp  # noqa: E402
 from rushline.operators import training as tr  # noqa: E402
 from rushline.plans.run import prepare, processed_sample  # noqa: E402
-from rushline.sinks import scratch_uri  # noqa: E402
+from rushline.sinks import scratch_uri, write_table  # noqa: E402
 from rushline.spec import FeatureSpec, ModelSettings, Spec  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -460,16 +460,28 @@ SETTINGS = ModelSettings()
 
 def _trained(spark, sf_dir, name):
     """(test rows, fitted classifier, full model, vectors) for one classifier."""
-    rows = hourly_rule(spark, sf_dir)
-    train = ft.complete_rows(rows.filter(F.col("split") == "train"))
-    feature_model = ft.fit_features(train)
-    vectors = feature_model.transform(train).select("features", "label", "fold")
+    test, feature_model, vectors = _training_set(hourly_rule(spark, sf_dir))
     candidate = next(c for c in tr.candidates(SETTINGS) if c.name == name)
     fitted, _ = tr.fit_timed(candidate, vectors, SETTINGS)
-    test = rows.filter(F.col("split") == "test")
     return test, fitted, tr.full_model(feature_model, fitted), vectors
 
 
+def _training_set(rows, features=FeatureSpec()):
+    """(test rows, fitted feature stages, training vectors) of prepared rows.
+
+    The vectors are written to the shared scratch folder: the layout shuffle
+    runs once, however often a fit reads them.
+    """
+    train = ft.complete_rows(rows.filter(F.col("split") == "train"), features)
+    feature_model = ft.fit_features(train, features)
+    laid_out = tr.training_layout(
+        train.select("event_id", *features.inputs, "label", "fold"), "event_id", train.count())
+    vectors = write_table(
+        feature_model.transform(laid_out).select("features", "label", "fold"),
+        scratch_uri(rows.sparkSession, "vectors"))
+    return rows.filter(F.col("split") == "test"), feature_model, vectors
+
+
 def _score_counts(spark, sf_dir, name):
     test, _, model, _ = _trained(spark, sf_dir, name)
     return tr.score(test, model).groupBy("congestion", "predicted_level").agg(
@@ -516,12 +528,9 @@ def importances_by_source(spark, sf_dir):
 
 def model_results(spark, sf_dir):
     """All three models on the level of the events' own values."""
-    rows = prepare(observations(spark, sf_dir), OBSERVED)
     features = FeatureSpec(scalars=("hour", "day_of_week", "is_weekend", "clouds_all"))
-    train = ft.complete_rows(rows.filter(F.col("split") == "train"), features)
-    test = rows.filter(F.col("split") == "test")
-    feature_model = ft.fit_features(train, features)
-    vectors = feature_model.transform(train).select("features", "label")
+    test, feature_model, vectors = _training_set(
+        prepare(observations(spark, sf_dir), OBSERVED), features)
     table = None
     for position, candidate in enumerate(tr.candidates(SETTINGS)):
         fitted, seconds = tr.fit_timed(candidate, vectors, SETTINGS)
@@ -533,9 +542,7 @@ def model_results(spark, sf_dir):
 
 def cv_best(spark, sf_dir):
     """Three-fold search over tree depths, folds by key hash."""
-    rows = hourly_rule(spark, sf_dir)
-    train = ft.complete_rows(rows.filter(F.col("split") == "train"))
-    vectors = ft.fit_features(train).transform(train).select("features", "label", "fold")
+    _, _, vectors = _training_set(hourly_rule(spark, sf_dir))
     tree = next(c for c in tr.candidates(SETTINGS) if c.name == "DecisionTree")
     return tr.cv_scores(spark, tr.cross_validate(tree, vectors, SETTINGS, "fold"))
 

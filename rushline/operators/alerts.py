@@ -9,7 +9,7 @@ from rushline.functions import calendar as cal
 from rushline.functions import text
 from rushline.operators.cleaning import distinct_on
 from rushline.operators.profile import TIME_FORMAT
-from rushline.spec import Spec
+from rushline.spec import LEVELS, Spec
 
 CONTEXT = (
     "level", "p_low", "p_medium", "p_high", "day_name", "hour",
@@ -48,11 +48,17 @@ def alert_rows(df: DataFrame, spec: Spec = Spec(), level: str = "congestion",
                n: int = 8, prefer: tuple[str, ...] = ()) -> DataFrame:
     """The first ``n`` by time among one row per (three-hour bucket, level).
 
-    ``df`` has the calendar columns. At most 8 x levels rows leave the
-    aggregate, whatever the size of the strata.
+    ``df`` has the calendar columns. Only the columns an alert needs go into
+    the aggregate, and at most 8 x levels rows leave it, whatever the size of
+    the strata.
     """
+    needed = [
+        spec.time, "hour", "day_of_week", spec.category, spec.detail, "temp_c", spec.holiday,
+        level, *(f"p_{name}" for name in LEVELS), *prefer,
+    ]
     strata = distinct_on(
-        df.withColumn("hour_bucket", cal.hour_bucket(F.col("hour"))),
+        df.select(*[c for c in dict.fromkeys(needed) if c in df.columns])
+        .withColumn("hour_bucket", cal.hour_bucket(F.col("hour"))),
         ["hour_bucket", level], prefer,
     )
     return (
@@ -65,7 +71,7 @@ def constant_shares(df: DataFrame, level: str = "congestion") -> DataFrame:
     """Level 0.8 and the others 0.1: the shares of a row that has no model score."""
     return df.withColumns({
         f"p_{name}": F.when(F.col(level) == name, 0.8).otherwise(0.1)
-        for name in ("low", "medium", "high")
+        for name in LEVELS
     })
 
 
@@ -161,19 +167,27 @@ def request_body(message: Column, max_tokens: int = REQUEST_MAX_TOKENS,
 
 
 def response_text(body: Column) -> Column:
-    """The joined text blocks of a response, trimmed; NULL if it is not JSON.
+    """The joined text blocks of a response, trimmed; NULL if it is not such a document.
 
-    Blocks are read one by one, so a block that is not an object or has no
-    text counts as empty.
+    One parse reads the usual shape, a list of objects. A list that mixes in
+    other values is read a second time, block by block; those values and
+    objects without a text count as empty.
     """
-    blocks = F.from_json(body, "content array<string>").getField("content")
-    pieces = F.transform(
-        blocks, lambda block: F.coalesce(F.get_json_object(block, "$.text"), F.lit("")))
-    joined = F.coalesce(F.array_join(pieces, ""), F.lit(""))
-    return F.when(
-        F.get_json_object(body, "$").isNotNull(),
-        F.regexp_replace(joined, r"(?U)^\s+|\s+$", ""),
+    def parsed(block_type: str) -> Column:
+        return F.from_json(body, f"content array<{block_type}>, unread string",
+                           {"columnNameOfCorruptRecord": "unread"})
+
+    objects, mixed = parsed("struct<text string>"), parsed("string")
+    empty = F.array().cast("array<string>")
+    pieces = F.when(
+        objects.getField("unread").isNull() & body.isNotNull(),
+        F.coalesce(objects.getField("content").getField("text"), empty),
+    ).when(
+        mixed.getField("unread").isNull(),
+        F.transform(mixed.getField("content"), lambda b: F.get_json_object(b, "$.text")),
     )
+    # array_join leaves NULL pieces out
+    return F.regexp_replace(F.array_join(pieces, ""), r"(?U)^\s+|\s+$", "")
 
 
 def alert_records(df: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rushline.spec import QUANTILE_PROBS
@@ -14,23 +16,23 @@ from rushline.spec import QUANTILE_PROBS
 ROUNDS = 64
 
 
-@dataclass
-class _Search:
-    """An open interval known to hold the value of one rank."""
+@dataclass(frozen=True)
+class _Interval:
+    """An open interval and the wanted ranks whose values lie in it."""
 
-    rank: int            # 0-based rank among the non-NULL values
-    low: float | None    # exclusive bounds, None = unbounded
+    ranks: tuple[int, ...]   # 0-based among the non-NULL values
+    low: float | None        # exclusive bounds, None = unbounded
     high: float | None
-    below: int           # values at or before ``low``
-    inside: int          # values strictly between the bounds
+    below: int               # values before the interval
+    inside: int              # values in it
 
-    def condition(self):
-        v = F.col("v")
-        inside = v.isNotNull()
+    @property
+    def condition(self) -> Column:
+        inside = F.lit(True)
         if self.low is not None:
-            inside = inside & (v > self.low)
+            inside = inside & (F.col("v") > self.low)
         if self.high is not None:
-            inside = inside & (v < self.high)
+            inside = inside & (F.col("v") < self.high)
         return inside
 
 
@@ -39,79 +41,93 @@ def exact_quantiles(
     column: str,
     probs: Sequence[float] = QUANTILE_PROBS,
     accuracy: int = 10_000,
+    small: int = 10_000,
 ) -> DataFrame:
     """(prob, value) with linear interpolation between neighbouring ranks.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    task. Here each round takes three sketch quantiles around every wanted rank
-    and counts the rows before, at and between them: two scans of one column
-    that return a handful of numbers. A rank that falls on a counted value is
-    found; otherwise the search goes on in the open interval between two of
-    them, about 2 / accuracy of the rows. Values that repeat without limit are
-    split points sooner or later, so they never stay inside an interval.
+    task. Here each round takes sketch quantiles around the wanted ranks and
+    counts the rows before, at and between them: two scans of one column that
+    return a handful of numbers. A rank that falls on a counted value is found;
+    the others go on in the open interval between two of them, about
+    2 / accuracy of the rows. A value that fills much of an interval becomes one
+    of its split points, so it never stays inside. At most ``small`` rows are
+    left when the search ends by reading them.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
     total = values.count()
     if total == 0:
-        return df.sparkSession.createDataFrame(
-            [(float(p), None) for p in probs], "prob double, value double")
-    positions = {p: p * (total - 1) for p in probs}
+        return _result(df, {float(p): None for p in probs})
+    positions = {float(p): p * (total - 1) for p in probs}
     ranks = sorted({r for x in positions.values() for r in (math.floor(x), math.ceil(x))})
     found: dict[int, float] = {}
-    searches = [_Search(r, None, None, 0, total) for r in ranks]
+    intervals = [_Interval(tuple(ranks), None, None, 0, total)]
     for _ in range(ROUNDS):
-        if not searches:
+        if sum(i.inside for i in intervals) <= small:
             break
-        searches = _narrow(values, searches, accuracy, found)
-    if searches:
-        raise RuntimeError(f"ranks {[s.rank for s in searches]} not found in {ROUNDS} rounds")
-    rows = []
-    for p, x in positions.items():
-        low, high = found[math.floor(x)], found[math.ceil(x)]
-        rows.append((float(p), low + (high - low) * (x - math.floor(x))))
-    return df.sparkSession.createDataFrame(rows, "prob double, value double")
-
-
-def _narrow(values: DataFrame, searches: list[_Search], accuracy: int,
-            found: dict[int, float]) -> list[_Search]:
-    """One round: split every interval at three sketch quantiles and count."""
+        intervals = _narrow(values, intervals, accuracy, found)
+    else:
+        raise RuntimeError(f"no answer after {ROUNDS} rounds: {intervals}")
+    if intervals:
+        _read_rest(values, intervals, found)
+    return _result(df, {
+        p: found[math.floor(x)] + (found[math.ceil(x)] - found[math.floor(x)]) * (x % 1)
+        for p, x in positions.items()
+    })
+
+
+def _result(df: DataFrame, quantiles: dict[float, float | None]) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        list(quantiles.items()), "prob double, value double")
+
+
+def _narrow(values: DataFrame, intervals: list[_Interval], accuracy: int,
+            found: dict[int, float]) -> list[_Interval]:
+    """One round: split every interval at sketch quantiles, count, keep the pieces wanted."""
+    nearby = values.filter(reduce(or_, [i.condition for i in intervals]))
+    reach = 1 / accuracy
     sketches = []
-    for i, s in enumerate(searches):
-        centre, reach = (s.rank - s.below + 0.5) / s.inside, 1 / accuracy
-        points = [min(max(centre + d, 0.0), 1.0) for d in (-reach, 0.0, reach)]
+    for n, i in enumerate(intervals):
+        centres = [(r - i.below + 0.5) / i.inside for r in i.ranks]
+        points = sorted({min(max(c + d, 0.0), 1.0) for c in centres for d in (-reach, 0, reach)})
         sketches.append(F.percentile_approx(
-            F.when(s.condition(), F.col("v")), points, accuracy).alias(f"s{i}"))
-    nearby = values.filter(_any([s.condition() for s in searches]))
-    splits = [sorted(set(row)) for row in nearby.agg(*sketches).first()]
+            F.when(i.condition, F.col("v")), points, accuracy).alias(f"s{n}"))
+    splits = [sorted(set(points)) for points in nearby.agg(*sketches).first()]
 
     counts = []
-    for i, (s, points) in enumerate(zip(searches, splits)):
-        for j, point in enumerate(points):
+    for n, (i, points) in enumerate(zip(intervals, splits)):
+        for k, point in enumerate(points):
             counts += [
-                F.count_if(s.condition() & (F.col("v") < point)).alias(f"lt_{i}_{j}"),
-                F.count_if(F.col("v") == point).alias(f"eq_{i}_{j}"),
+                F.count_if(i.condition & (F.col("v") < point)).alias(f"lt_{n}_{k}"),
+                F.count_if(F.col("v") == point).alias(f"eq_{n}_{k}"),
             ]
-    row = nearby.agg(*counts).first()
-
-    left = []
-    for i, (s, points) in enumerate(zip(searches, splits)):
-        low, below = s.low, s.below
-        for j, point in enumerate(points):
-            before, at = s.below + row[f"lt_{i}_{j}"], row[f"eq_{i}_{j}"]
-            if s.rank < before:
-                left.append(_Search(s.rank, low, point, below, before - below))
-                break
-            if s.rank < before + at:
-                found[s.rank] = point
-                break
-            low, below = point, before + at
-        else:
-            left.append(_Search(s.rank, low, s.high, below, s.below + s.inside - below))
-    return left
-
-
-def _any(conditions: list):
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
+    counted = nearby.agg(*counts).first()
+
+    pieces = []
+    for n, (i, points) in enumerate(zip(intervals, splits)):
+        low, below, ranks = i.low, i.below, list(i.ranks)
+        for k, point in enumerate(points):
+            before = i.below + counted[f"lt_{n}_{k}"]
+            after = before + counted[f"eq_{n}_{k}"]
+            wanted = tuple(r for r in ranks if r < before)
+            if wanted:
+                pieces.append(_Interval(wanted, low, point, below, before - below))
+            found.update({r: point for r in ranks if before <= r < after})
+            ranks = [r for r in ranks if r >= after]
+            low, below = point, after
+        if ranks:
+            pieces.append(_Interval(tuple(ranks), low, i.high, below, i.below + i.inside - below))
+    return pieces
+
+
+def _read_rest(values: DataFrame, intervals: list[_Interval], found: dict[int, float]) -> None:
+    """Fetch the few values left and pick the wanted ranks."""
+    rest = values.filter(reduce(or_, [i.condition for i in intervals]))
+    rows = sorted((row["v"], row["n"]) for row in rest.groupBy("v").agg(
+        F.count(F.lit(1)).alias("n")).collect())
+    for i in intervals:
+        before = i.below
+        for value, n in rows:
+            if (i.low is None or value > i.low) and (i.high is None or value < i.high):
+                found.update({r: value for r in i.ranks if before <= r < before + n})
+                before += n

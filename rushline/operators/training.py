@@ -92,6 +92,25 @@ def fit_timed(candidate: Candidate, train: DataFrame, settings: ModelSettings,
     return model, time.monotonic() - started
 
 
+ROWS_PER_TASK = 1_000_000
+MIN_ROWS_PER_TASK = 2_000
+
+
+def training_layout(rows: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Training rows in balanced, repeatable partitions.
+
+    Split candidates of a tree are sampled per partition, so the same seed
+    gives the same tree only for the same layout. Rows go to partitions by the
+    hash of the whole row, not of the key: a key that many rows share does not
+    fill one partition. The number of partitions follows the rows, down to one
+    task per core for a small table that came in one file.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    n = max(-(-n_rows // ROWS_PER_TASK), min(cores, -(-n_rows // MIN_ROWS_PER_TASK)), 1)
+    rest = [c for c in rows.columns if c != key]
+    return rows.repartition(n, F.xxhash64(key, *rest)).sortWithinPartitions(key, *rest)
+
+
 REPORTED_PARAMS = (
     "maxIter", "regParam", "elasticNetParam", "maxDepth", "maxBins",
     "numTrees", "subsamplingRate", "featureSubsetStrategy",

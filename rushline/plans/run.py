@@ -82,10 +82,11 @@ def run(
     test = table.filter(F.col("split") == "test")
     feature_model = ft.fit_features(train, features)
     # The vectors of the training rows are read by every fit and every
-    # iteration: written once, like the observations.
+    # iteration: laid out and written once, like the observations.
+    laid_out = tr.training_layout(
+        train.select(spec.key, *features.inputs, "label", "fold"), spec.key, train.count())
     vectors = write_table(
-        feature_model.transform(train).select("features", "label", "fold"), at("vectors"))
-    vectors_named = feature_model.transform(train).select("features")
+        feature_model.transform(laid_out).select("features", "label", "fold"), at("vectors"))
 
     results_uri = at("results", "model_results")
     spark.createDataFrame([], _result_schema()).write.mode("overwrite").parquet(results_uri)
@@ -118,6 +119,7 @@ def run(
         scored.filter(F.col("predicted_level").isNotNull()), spec, "predicted_level", n_alerts)
     records = al.alert_records(al.contexts(chosen, spec, "predicted_level"))
     write_json(records.orderBy("datetime"), at("results", "sample_alerts"), single_file=True)
+    written = spark.read.schema(records.schema).json(at("results", "sample_alerts"))
 
     bars = {
         "hourly": profile["profile_hourly_volume"].select("hour", "avg_volume").orderBy("hour"),
@@ -136,11 +138,11 @@ def run(
               at("charts", "confusion"), single_file=True)
     write_csv(
         charts.importance_bars(
-            tr.importances(models["RandomForest"][0], vectors_named, features)),
+            tr.importances(models["RandomForest"][0], vectors, features)),
         at("charts", "feature_importance"), single_file=True)
 
     log.finish()
-    summary = run_summary(load, table, results, best, settings, n_alerts, log)
+    summary = run_summary(load, table, results, written, best, settings, log)
     write_json(summary, at("results", "run_summary"), single_file=True)
     return spark.read.schema(summary.schema).json(at("results", "run_summary"))
 
@@ -153,8 +155,8 @@ def result_matrices(results: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(load: DataFrame, table: DataFrame, results: DataFrame, best: str,
-                settings: ModelSettings, n_alerts: int, log: RunLog) -> DataFrame:
+def run_summary(load: DataFrame, table: DataFrame, results: DataFrame, alerts: DataFrame,
+                best: str, settings: ModelSettings, log: RunLog) -> DataFrame:
     """One nested row: load figures, model results, split sizes and settings."""
     sizes = table.agg(
         F.struct(
@@ -164,7 +166,10 @@ def run_summary(load: DataFrame, table: DataFrame, results: DataFrame, best: str
     ).scalar()
     models = results.agg(
         # one element per trained model
-        F.array_sort(F.collect_list(F.struct(*results.columns)))
+        F.array_sort(
+            F.collect_list(F.struct(*results.columns)),
+            lambda a, b: a.getField("position") - b.getField("position"),
+        )
     ).scalar()
     return load.select(
         F.struct(*load.columns).alias("load"),
@@ -172,7 +177,7 @@ def run_summary(load: DataFrame, table: DataFrame, results: DataFrame, best: str
         F.lit(best).alias("best_model"),
         sizes.getField("train").alias("train_rows"),
         sizes.getField("test").alias("test_rows"),
-        F.lit(n_alerts).alias("max_sample_alerts"),
+        alerts.agg(F.count(F.lit(1))).scalar().alias("n_sample_alerts"),
         F.lit(log.run_id).alias("run_id"),
         F.lit(log.uri).alias("run_log"),
         F.lit(settings.use_cv).alias("cross_validation"),
