@@ -11,7 +11,8 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,18 +28,17 @@ from rushline.operators import features as ft  # noqa: E402
 from rushline.operators import profile as pr  # noqa: E402
 from rushline.operators import split as sp  # noqa: E402
 from rushline.operators import training as tr  # noqa: E402
+from rushline.plans import report  # noqa: E402
 from rushline.plans.run import prepare, processed_sample  # noqa: E402
 from rushline.sinks import scratch_uri, write_table  # noqa: E402
 from rushline.spec import FeatureSpec, ModelSettings, Spec  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-EVENTS = Spec(time="ts", measure="value", category="event_type")
 OBSERVED = Spec(split_key="event_id")
 # Hourly averages of events.value lie close to 50: these bounds part them.
 BASELINE_BOUNDS = (49.0, 50.0)
 QUANTITY_BOUNDS = (15.0, 35.0)
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 # Weather standing in for each event type.
 WEATHER_OF = {
     "view": "Clear", "click": "Rain", "signup": "Snow", "error": "Fog", "purchase": "Clouds",
@@ -166,6 +166,23 @@ def profile_suite(spark, sf_dir):
     return _rounded(suite, "avg_volume")
 
 
+def profile_document(spark, sf_dir):
+    """The nested profile of all observations as one JSON text."""
+    rows = observations(spark, sf_dir)
+    spec = OBSERVED
+    totals, cells, hourly = (
+        write_table(table, scratch_uri(spark, name)) for name, table in (
+            ("totals", pr.table_totals(rows, spec.numeric, [spec.measure, spec.temp])),
+            ("cells", pr.profile_cells(
+                rows, spec.time, spec.measure, [spec.category, spec.holiday])),
+            ("hourly", pr.hourly_profile(rows, spec.time, spec.measure)),
+        )
+    )
+    document = report.profile_document(
+        rows.dtypes, totals, report.profile_tables(totals, cells, hourly, spec), spec)
+    return document.select(F.to_json(F.struct("*")).alias("document"))
+
+
 def dow_chart(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     return _rounded(charts.weekday_bars(pr.weekday_profile(events, "ts", "value")), "avg_volume")
@@ -225,7 +242,7 @@ def hour_buckets(spark, sf_dir):
         F.date_format("ts", pr.TIME_FORMAT).alias("time_text"), text.clock(hour).alias("clock"))
 
 
-def day_names(spark, sf_dir):
+def day_name(spark, sf_dir):
     day = F.dayofweek("ts")
     return _table(spark, sf_dir, "events").groupBy(
         day.alias("day_of_week"), cal.day_name(day).alias("day_name")
@@ -314,10 +331,21 @@ def label_index(spark, sf_dir):
     return labelled.groupBy("congestion", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def one_hot_flat(spark, sf_dir):
+    """The one-hot slots of the event type as columns, with the index they come from."""
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type")
+    spec = FeatureSpec(scalars=(), categories=("event_type",))
+    encoded = ft.fit_features(events, spec).transform(events)
+    slots = vector_to_array("event_type_vec")
+    names = ft.slot_names(encoded)
+    return encoded.select(
+        "event_id", F.col("event_type_idx").alias("event_type_idx"),
+        *[F.get(slots, F.lit(i)).alias(n.removeprefix("event_type_vec_"))
+          for i, n in enumerate(names)])
+
+
 def assembled_features(spark, sf_dir):
     """Every slot of the feature vector as a column, for every observation."""
-    from pyspark.ml.functions import vector_to_array
-
     rows = prepare(observations(spark, sf_dir), OBSERVED)
     built = ft.fit_features(rows).transform(rows)
     slots = vector_to_array("features")
@@ -355,13 +383,15 @@ def baseline_predictions(spark, sf_dir):
         return cal.level_index(
             cal.level(measure, *BASELINE_BOUNDS), ft.LEVEL_INDEX).cast("int")
 
-    # One cell per hour and weekday: at most 168 rows to broadcast. The hour
-    # averages come from the same cells.
+    # One cell per hour and weekday, at most 168 rows: the hour averages are
+    # taken over the cells, and the whole table is small enough to broadcast.
     cells = events.groupBy("hour", "dow").agg(F.sum("value").alias("s"), F.count("value").alias("n"))
-    hours = cells.groupBy("hour").agg(
-        F.round(F.sum("s") / F.sum("n"), 6).alias("hour_mean"))
-    means = cells.join(F.broadcast(hours), "hour").select(
-        "hour", "dow", "hour_mean", F.round(F.col("s") / F.col("n"), 6).alias("cell_mean"))
+    hour = Window.partitionBy("hour")
+    means = cells.select(
+        "hour", "dow",
+        F.round(F.sum("s").over(hour) / F.sum("n").over(hour), 6).alias("hour_mean"),
+        F.round(F.col("s") / F.col("n"), 6).alias("cell_mean"),
+    )
     joined = events.join(F.broadcast(means), ["hour", "dow"])
     models = F.array(
         F.struct(F.lit("hour_mean").alias("model"), as_label(F.col("hour_mean")).alias("prediction")),
@@ -405,10 +435,8 @@ def model_gap(spark, sf_dir):
 
 
 def best_recall_range(spark, sf_dir):
-    matrix = confusion_dense(spark, sf_dir)
-    results = ev.weighted_metrics(matrix, by=["model"])
-    classes = ev.per_class(matrix, by=["model"])
-    return _rounded(ev.recall_range(results, classes), "min_recall", "max_recall")
+    classes = ev.per_class(confusion_dense(spark, sf_dir), by=["model"])
+    return _rounded(ev.recall_range(classes), "min_recall", "max_recall")
 
 
 # --------------------------------------------------------------------------
@@ -554,11 +582,11 @@ def cv_best(spark, sf_dir):
 QUERIES = (
     hourly_profile, dow_profile, monthly_profile, category_profile, text_category_profile,
     category_topn, category_topn_many, numeric_summary, null_audit, quantiles_exact,
-    quantiles_exact_lineitem, quantiles_approx, load_summary, profile_suite, dow_chart,
+    quantiles_exact_lineitem, quantiles_approx, load_summary, profile_suite, profile_document, dow_chart,
     category_chart, clean_observations, clean_filter_first, distinct_customers,
-    calendar_features, hour_buckets, day_names, holiday_days, null_defaults, congestion_label,
+    calendar_features, hour_buckets, day_name, holiday_days, null_defaults, congestion_label,
     class_counts, stratified_pick, deterministic_sample, processed_rows, hash_split_counts,
-    hash_folds, category_index, label_index, assembled_features, histogram50, hexbin40,
+    hash_folds, category_index, label_index, one_hot_flat, assembled_features, histogram50, hexbin40,
     confusion_dense, confusion_named, weighted_metrics, per_class_metrics, metrics_long,
     best_worst_model, model_gap, best_recall_range, alert_text, prompt_table, request_bodies,
     response_parse, adhoc_alerts, lr_scores, dt_scores, rf_scores, saved_model_scores,

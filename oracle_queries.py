@@ -272,7 +272,7 @@ ORACLES: dict[str, str] = {
         select event_id, hour(ts)::integer as hour, (hour(ts) // 3)::bigint as hour_bucket,
           strftime(ts, '%Y-%m-%d %H:%M:%S') as time_text, strftime(ts, '%H:00') as clock
         from events""",
-    "day_names": """
+    "day_name": """
         select (dayofweek(ts) + 1)::integer as day_of_week, dayname(ts) as day_name,
           count(*) as n from events group by all""",
     "holiday_days": """
@@ -324,6 +324,16 @@ ORACLES: dict[str, str] = {
         select congestion, case congestion when 'high' then 0.0 when 'low' then 1.0 else 2.0
           end::double as label, count(*) as n
         from (select {LEVEL_OF_QUANTITY} as congestion from lineitem) group by 1""",
+    "one_hot_flat": """
+        with indexed as (select event_type, (row_number() over (
+          order by count(*) desc, event_type) - 1)::double as i from events group by 1)
+        select event_id, i as event_type_idx,
+          case when e.event_type = 'click' then 1.0 else 0.0 end::double as click,
+          case when e.event_type = 'error' then 1.0 else 0.0 end::double as error,
+          case when e.event_type = 'purchase' then 1.0 else 0.0 end::double as purchase,
+          case when e.event_type = 'signup' then 1.0 else 0.0 end::double as signup,
+          case when e.event_type = 'view' then 1.0 else 0.0 end::double as view
+        from events e join indexed x on e.event_type = x.event_type""",
     "assembled_features": f"""
         with {DERIVED} select event_id, {_slots()} from derived""",
     "histogram50": """

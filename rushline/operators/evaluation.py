@@ -137,14 +137,15 @@ def model_gap(results: DataFrame, first: str, second: str, model: str = "model")
     )
 
 
-def recall_range(results: DataFrame, classes: DataFrame, model: str = "model",
-                 order: str | None = None) -> DataFrame:
-    """Smallest and largest per-class recall of the best model."""
-    best = best_and_worst(results, model, order).select("best").scalar()
-    return (
-        classes.filter(F.col(model) == best)
-        .agg(
-            F.first(model).alias(model),
-            F.min("recall").alias("min_recall"), F.max("recall").alias("max_recall"),
-        )
+def recall_range(classes: DataFrame, model: str = "model") -> DataFrame:
+    """Smallest and largest per-class recall of the model with the best weighted f1.
+
+    Works on the per-class table alone: the weighted f1 is its support-weighted
+    average. Equal scores go to the first name.
+    """
+    models = classes.groupBy(model).agg(
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1"),
+        F.min("recall").alias("min_recall"),
+        F.max("recall").alias("max_recall"),
     )
+    return models.orderBy(F.desc("f1"), F.asc(model)).limit(1).drop("f1")

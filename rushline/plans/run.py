@@ -41,6 +41,16 @@ def processed_sample(df: DataFrame, spec: Spec = Spec(), n: int = 4000) -> DataF
     )
 
 
+def profile_only(raw: DataFrame, out: str, spec: Spec = Spec()) -> DataFrame:
+    """Clean and profile, nothing else; returns the profile document.
+
+    The cleaned rows are written first, so the dedupe shuffle runs once and not
+    once per profile scan.
+    """
+    table = write_table(cl.clean(raw, spec), join_uri(out, "observations"))
+    return write_profile(table, join_uri(out, "results"), spec)["document"]
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -108,6 +118,7 @@ def run(
     write_csv(
         results.orderBy("position").select("model", *ev.METRICS, "train_time_s"),
         at("results", "model_results_csv"), single_file=True)
+    write_json(results.orderBy("position"), at("results", "model_results_json"), single_file=True)
     matrices = result_matrices(results)
     classes = ev.per_class(matrices, by=["model"])
     write_json(classes.drop("hit").orderBy("model", "level"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rushline.operators import profile as pr
 from rushline.operators import quantiles as qu
-from rushline.plans.report import write_profile
+from rushline.plans import profile_only, write_profile
 from tests.data import hourly_table
 
 
@@ -124,3 +124,14 @@ def test_document_refuses_too_many_categories(spark, tmp_path):
         "weather_main", F.concat(F.lit("w"), F.unix_timestamp("date_time")))
     with pytest.raises(Exception, match="more than 1000 rows"):
         write_profile(df, str(tmp_path))
+
+
+def test_schema_listing(spark):
+    rows = pr.schema_listing(hourly_table(spark, 1)).orderBy("position").collect()
+    assert (rows[0]["name"], rows[0]["type"]) == ("holiday", "string") and len(rows) == 9
+
+
+def test_profile_only_cleans_first(spark, tmp_path):
+    df = hourly_table(spark, 300)
+    document = profile_only(df.unionByName(df).repartition(4), str(tmp_path)).first()
+    assert document["row_count"] == 300
