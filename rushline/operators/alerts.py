@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,15 +157,18 @@ def prompt_text() -> Column:
 
 def request_body(message: Column, max_tokens: int = REQUEST_MAX_TOKENS,
                  temperature: float = REQUEST_TEMPERATURE) -> Column:
-    """JSON body of a chat request, ready for a batch-inference file."""
-    return F.to_json(F.struct(
-        F.lit(REQUEST_VERSION).alias("anthropic_version"),
-        F.lit(max_tokens).alias("max_tokens"),
-        F.lit(temperature).alias("temperature"),
-        F.lit(SYSTEM_PROMPT).alias("system"),
-        F.array(F.struct(F.lit("user").alias("role"), message.alias("content")))
-        .alias("messages"),
-    ))
+    """JSON body of a chat request, ready for a batch-inference file.
+
+    Only the message differs between rows; everything before it is one literal.
+    """
+    head = json.dumps({
+        "anthropic_version": REQUEST_VERSION,
+        "max_tokens": max_tokens,
+        "temperature": temperature,
+        "system": SYSTEM_PROMPT,
+    }, ensure_ascii=False, separators=(",", ":"))
+    turn = F.to_json(F.struct(F.lit("user").alias("role"), message.alias("content")))
+    return F.concat(F.lit(head[:-1] + ',"messages":['), turn, F.lit("]}"))
 
 
 def response_text(body: Column) -> Column:
@@ -177,17 +182,22 @@ def response_text(body: Column) -> Column:
         return F.from_json(body, f"content array<{block_type}>, unread string",
                            {"columnNameOfCorruptRecord": "unread"})
 
-    objects, mixed = parsed("struct<text string>"), parsed("string")
-    empty = F.array().cast("array<string>")
-    pieces = F.when(
-        objects.getField("unread").isNull() & body.isNotNull(),
-        F.coalesce(objects.getField("content").getField("text"), empty),
-    ).when(
-        mixed.getField("unread").isNull(),
-        F.transform(mixed.getField("content"), lambda b: F.get_json_object(b, "$.text")),
-    )
+    def pieces(document: Column) -> Column:
+        mixed = parsed("string")
+        return F.when(
+            document.getField("unread").isNull(),
+            F.coalesce(document.getField("content").getField("text"),
+                       F.array().cast("array<string>")),
+        ).when(
+            mixed.getField("unread").isNull(),
+            F.transform(mixed.getField("content"), lambda b: F.get_json_object(b, "$.text")),
+        )
+
+    # The lambda gives the parsed document a name: written out twice, it would
+    # be parsed twice.
+    blocks = F.get(F.transform(F.array(parsed("struct<text string>")), pieces), F.lit(0))
     # array_join leaves NULL pieces out
-    return F.regexp_replace(F.array_join(pieces, ""), r"(?U)^\s+|\s+$", "")
+    return F.when(body.isNotNull(), text.strip(F.array_join(blocks, "")))
 
 
 def alert_records(df: DataFrame) -> DataFrame:
