@@ -21,6 +21,11 @@ def _range(df: DataFrame, *columns: str) -> Column:
     return df.agg(*bounds).select(F.struct("*")).scalar()
 
 
+def _number(column: str) -> Column:
+    """True for values that have a place on the axis: neither NULL nor NaN."""
+    return F.col(column).isNotNull() & ~F.isnan(F.col(column))
+
+
 def histogram(
     df: DataFrame,
     column: str,
@@ -33,6 +38,7 @@ def histogram(
     A constant column gets the unit range around its value. ``low_max`` and
     ``high_min`` mark the bins the level bounds fall into.
     """
+    df = df.filter(_number(column))
     bounds = _range(df, column)
     lo, hi = bounds.getField("lo_0"), bounds.getField("hi_0")
     flat = lo == hi
@@ -40,10 +46,7 @@ def histogram(
     width = F.when(flat, 1.0).otherwise(hi - lo) / bins
     value = F.col(column).cast("double")
     place = F.least(F.floor((value - start) / width), F.lit(bins - 1)).cast("int")
-    counts = (
-        df.filter(F.col(column).isNotNull()).groupBy(place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = df.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     lower, upper = start + F.col("bin") * width, start + (F.col("bin") + 1) * width
     out = (
@@ -75,7 +78,8 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 40) -> DataFrame:
     lattice 1 half a cell further in both directions; a tie goes to lattice 1.
     """
     rows = int(gridsize / 3 ** 0.5)
-    bounds = _range(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), x, y)
+    df = df.filter(_number(x) & _number(y))
+    bounds = _range(df, x, y)
 
     def axis(i: int, cells: int) -> tuple[Column, Column]:
         lo, hi = bounds.getField(f"lo_{i}"), bounds.getField(f"hi_{i}")
@@ -84,8 +88,7 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 40) -> DataFrame:
     (x0, dx), (y0, dy) = axis(0, gridsize), axis(1, rows)
     u, v = (F.col(x) - x0) / dx, (F.col(y) - y0) / dy
     placed = (
-        df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .select(u.alias("u"), v.alias("v"))
+        df.select(u.alias("u"), v.alias("v"))
         .withColumns({
             "u0": F.rint("u"), "v0": F.rint("v"),
             # the largest value belongs to the last cell, not to one beyond it

@@ -20,7 +20,7 @@ ROUNDS = 64
 class _Interval:
     """An open interval and the wanted ranks whose values lie in it."""
 
-    ranks: tuple[int, ...]   # 0-based among the non-NULL values
+    ranks: tuple[int, ...]   # 0-based among the numbers
     low: float | None        # exclusive bounds, None = unbounded
     high: float | None
     below: int               # values before the interval
@@ -54,7 +54,8 @@ def exact_quantiles(
     of its split points, so it never stays inside. At most ``small`` rows are
     left when the search ends by reading them.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    values = df.select(F.col(column).cast("double").alias("v")).filter(
+        "v is not null and not isnan(v)")
     total = values.count()
     if total == 0:
         return _result(df, {float(p): None for p in probs})

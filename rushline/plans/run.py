@@ -71,7 +71,9 @@ def run(
     """
     log = RunLog(spark, log_uri, experiment)
     log.start(source=source, out=out)
-    at = lambda *parts: join_uri(out, *parts)
+
+    def at(*parts: str) -> str:
+        return join_uri(out, *parts)
 
     raw_columns = raw.columns
     table = write_table(

@@ -24,7 +24,7 @@ def test_histogram_marks_the_level_bounds(spark):
 
 
 def test_constant_and_null_columns(spark):
-    df = spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double")
+    df = spark.createDataFrame([(3.0,), (3.0,), (None,), (float("nan"),)], "v double")
     rows = bins.histogram(df, "v", 4).orderBy("bin").collect()
     assert sum(r["n"] for r in rows) == 2 and rows[0]["lower"] == 2.5
     assert bins.hexbin(df.withColumn("w", F.col("v")), "v", "w").agg(F.sum("n")).first()[0] == 2

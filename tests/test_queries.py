@@ -33,6 +33,19 @@ def test_trained_query_equals_the_rule(spark, sf_dir, db, name):
     assert compare(ours, db.execute(ORACLES[name]).fetchdf()) is None
 
 
+EAGER = TRAINED | {
+    "lr_scores", "importances", "importances_by_source", "model_results", "cv_best",
+    "quantiles_exact", "quantiles_exact_lineitem", "profile_document",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+def test_plan_has_no_nested_loop_and_no_python(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition, R"):
+        assert unwanted not in plan
+
+
 def test_line_learns_the_rule(spark, sf_dir):
     rows = QUERIES["lr_scores"](spark, sf_dir).collect()
     right = sum(r["n"] for r in rows if r["congestion"] == r["predicted_level"])
