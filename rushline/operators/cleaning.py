@@ -69,15 +69,15 @@ def add_level(df: DataFrame, spec: Spec = Spec(), out: str = "congestion") -> Da
 def spread_holidays(df: DataFrame, spec: Spec = Spec(), out: str = "is_holiday") -> DataFrame:
     """Flag every row of a day on which any row is a holiday.
 
-    The right side is one row per holiday date; AQE measures it and picks the
-    join, and splits a day that holds too many rows.
+    The right side is one four-byte date per holiday; dates end with the year
+    9999, so it cannot outgrow a broadcast, and the rows stay where they are.
     """
     day = F.to_date(F.col(spec.time))
     is_holiday = cal.holiday_flag(F.col(spec.holiday), spec.no_holiday) == 1
     days = df.filter(is_holiday).select(day.alias("_day")).distinct()
     return (
         df.drop(out).withColumn("_day", day)
-        .join(days.withColumn("_hit", F.lit(1)), "_day", "left")
+        .join(F.broadcast(days.withColumn("_hit", F.lit(1))), "_day", "left")
         .withColumn(out, F.coalesce("_hit", F.lit(0)))
         .drop("_day", "_hit")
     )

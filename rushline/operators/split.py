@@ -4,27 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+
+def key_text(df: DataFrame, key: str) -> Column:
+    """The key as text that is the same in every session time zone."""
+    if isinstance(df.schema[key].dataType, TimestampType):
+        return F.unix_micros(key).cast("string")
+    return F.col(key).cast("string")
 
 
 def hash_percent(key: Column, salt: str = "") -> Column:
-    """0..99 from the key alone: the same under any partitioning or engine."""
-    text = key.cast("string")
+    """0..99 from the text of a key: the same under any partitioning or engine."""
     if salt:
-        text = F.concat(F.lit(salt), text)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
+        key = F.concat(F.lit(salt), key)
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % 100
 
 
 def add_split(df: DataFrame, key: str, train_percent: int = 80, out: str = "split") -> DataFrame:
     """``train`` or ``test`` per row; narrow, no shuffle. A NULL key is test."""
     return df.withColumn(
-        out, F.when(hash_percent(F.col(key)) < train_percent, "train").otherwise("test")
+        out, F.when(hash_percent(key_text(df, key)) < train_percent, "train").otherwise("test")
     )
 
 
 def add_fold(df: DataFrame, key: str, folds: int = 3, out: str = "fold") -> DataFrame:
     """Fold number for cross-validation, independent of the split hash."""
     return df.withColumn(
-        out, F.coalesce(hash_percent(F.col(key), "fold") % folds, F.lit(0)).cast("int")
+        out, F.coalesce(hash_percent(key_text(df, key), "fold") % folds, F.lit(0)).cast("int")
     )
 
 
@@ -37,4 +44,4 @@ def sample_rows(df: DataFrame, key: str, n: int = 4000) -> DataFrame:
 
     Plans as take-ordered: each task keeps ``n`` rows, nothing is fully sorted.
     """
-    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
+    return df.orderBy(F.md5(key_text(df, key)), F.col(key)).limit(n)

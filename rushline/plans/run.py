@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,9 +63,13 @@ def run(
     log_uri: str | None = None,
     experiment: str = "congestion",
     n_alerts: int = 8,
+    alerts_from: str = "prediction",
 ) -> DataFrame:
     """Write every artifact of a run under ``out``; returns the one-row summary.
 
+    Alerts describe the best model's predictions; with ``alerts_from="level"``
+    they describe the observed levels with constant shares.
+
     The cleaned, labelled table is written once, partitioned by split, and
     everything after it reads those files: the dedupe shuffle runs once, scans
     prune columns and splits, and a lost executor costs a re-read only.
@@ -127,10 +132,8 @@ def run(
                at("results", "per_class_metrics"), single_file=True)
 
     best = ev.best_and_worst(results, order="position").first()["best"]
-    scored = tr.score(test, models[best][1], features.scalars)
-    chosen = al.alert_rows(
-        scored.filter(F.col("predicted_level").isNotNull()), spec, "predicted_level", n_alerts)
-    records = al.alert_records(al.contexts(chosen, spec, "predicted_level"))
+    records = alert_sample(
+        test, models[best][1], spec, features, n_alerts, alerts_from == "prediction")
     write_json(records.orderBy("datetime"), at("results", "sample_alerts"), single_file=True)
     written = spark.read.schema(records.schema).json(at("results", "sample_alerts"))
 
@@ -160,6 +163,18 @@ def run(
     return spark.read.schema(summary.schema).json(at("results", "run_summary"))
 
 
+def alert_sample(test: DataFrame, model: PipelineModel, spec: Spec, features: FeatureSpec,
+                 n: int, predicted: bool) -> DataFrame:
+    """Alert records of one row per stratum of the test rows."""
+    if predicted:
+        level = "predicted_level"
+        rows = tr.score(test, model, features.scalars).filter(F.col(level).isNotNull())
+    else:
+        level = "congestion"
+        rows = al.constant_shares(test, level)
+    return al.alert_records(al.contexts(al.alert_rows(rows, spec, level, n), spec, level))
+
+
 def result_matrices(results: DataFrame) -> DataFrame:
     """The matrices of a results table as (model, label, prediction, n)."""
     return (

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rushline.plans import run
+from rushline.plans.run import alert_sample
 from rushline.sinks import RunLog, scratch_uri, write_csv, write_json, write_table
-from rushline.spec import ModelSettings
+from rushline.spec import FeatureSpec, ModelSettings, Spec
 from tests.data import hourly_table
 
 SETTINGS = ModelSettings(lr_max_iter=10, rf_trees=4, rf_depth=5)
@@ -64,6 +65,16 @@ def test_alerts(finished):
         assert f"around {alert['context']['hour']:02d}:00" in alert["alert"]
 
 
+def test_alerts_of_observed_levels(spark, finished):
+    out, _ = finished
+    table = spark.read.parquet(str(out / "out" / "observations")).filter("split = 'test'")
+    rows = alert_sample(table, None, Spec(), FeatureSpec(), 8, predicted=False).collect()
+    assert len(rows) == 8
+    for row in rows:
+        assert row["context"][f"p_{row['predicted_level']}"] == 0.8
+        assert "(model confidence ~80%)" in row["alert"]
+
+
 def test_charts(finished):
     out, _ = finished
     charts = out / "out" / "charts"

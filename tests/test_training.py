@@ -35,7 +35,7 @@ def _candidate(name):
     return next(c for c in tr.candidates(SETTINGS) if c.name == name)
 
 
-def test_three_candidates_each_with_a_grid():
+def test_three_candidates_each_with_a_grid(spark):
     names = [c.name for c in tr.candidates()]
     assert names == ["LogisticRegression", "DecisionTree", "RandomForest"]
     assert [len(c.grid) for c in tr.candidates()] == [6, 4, 4]
@@ -48,6 +48,17 @@ def test_split_is_stable_and_close_to_the_share(prepared):
     assert again.exceptAll(prepared.select(again.columns)).isEmpty()
 
 
+def test_split_of_a_time_does_not_depend_on_the_session_zone(spark, prepared):
+    before = {r["date_time"]: r["split"] for r in prepared.select("date_time", "split").collect()}
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        again = sp.add_split(hourly_table(spark, 4_000), "date_time").select("date_time", "split")
+        after = {r["date_time"]: r["split"] for r in again.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert set(after.values()) == {"train", "test"} and after == before
+
+
 def test_sample_is_stable(prepared):
     first = sp.sample_rows(prepared, "date_time", 50).collect()
     assert sp.sample_rows(prepared.repartition(7), "date_time", 50).collect() == first
