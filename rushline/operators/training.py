@@ -163,12 +163,6 @@ def importances(model: Model, features: DataFrame, spec: FeatureSpec = FeatureSp
     return table.select("feature", "importance")
 
 
-RESULT_COLUMNS = (
-    "position", "model", "train_time_s", "accuracy", "precision", "recall", "f1",
-    "n_rows", "confusion_matrix", "feature_importances", "parameters",
-)
-
-
 def result_row(position: int, name: str, seconds: float, model: Model,
                scored: DataFrame) -> DataFrame:
     """One row about one model: metrics, matrix, importances and parameters.

@@ -21,6 +21,11 @@ from rushline.sinks import RunLog, append_table, write_csv, write_json, write_ta
 from rushline.sources import join_uri
 from rushline.spec import FeatureSpec, ModelSettings, Spec
 
+RESULT_SCHEMA = (
+    "position int, model string, train_time_s double, accuracy double, precision double, "
+    "recall double, f1 double, n_rows bigint, confusion_matrix array<array<bigint>>, "
+    "feature_importances array<double>, parameters map<string,string>"
+)
 SAMPLE_COLUMNS = (
     "hour", "day_of_week", "is_weekend", "temp_c", "rain_1h", "snow_1h",
 )
@@ -95,45 +100,21 @@ def run(
     write_csv(counts.orderBy("congestion"), at("results", "class_counts"), single_file=True)
     write_csv(processed_sample(table, spec), at("processed_sample"), single_file=True)
 
-    train = ft.complete_rows(table.filter(F.col("split") == "train"), features)
     test = table.filter(F.col("split") == "test")
-    feature_model = ft.fit_features(train, features)
-    # The vectors of the training rows are read by every fit and every
-    # iteration: laid out and written once, like the observations.
-    laid_out = tr.training_layout(
-        train.select(spec.key, *features.inputs, "label", "fold"), spec.key, train.count())
-    vectors = write_table(
-        feature_model.transform(laid_out).select("features", "label", "fold"), at("vectors"))
-
-    results_uri = at("results", "model_results")
-    spark.createDataFrame([], _result_schema()).write.mode("overwrite").parquet(results_uri)
-    models = {}
-    matrices = []
-    for position, candidate in enumerate(tr.candidates(settings)):
-        fitted, seconds = tr.fit_timed(
-            candidate, vectors, settings, "fold" if settings.use_cv else None)
-        model = tr.full_model(feature_model, fitted)
-        tr.save_model(model, at("models", candidate.name.lower()))
-        scored = tr.score(test, model, features.scalars)
-        row = tr.result_row(position, candidate.name, seconds, fitted, scored)
-        append_table(row, results_uri)
-        done = spark.read.schema(_result_schema()).parquet(results_uri)
-        log.record_results(done.filter(F.col("position") == position))
-        models[candidate.name] = (fitted, model)
-    results = spark.read.schema(_result_schema()).parquet(results_uri)
-
+    trained, vectors = train_all(table, test, out, spec, features, settings, log)
+    results = read_results(spark, out)
+    matrices = result_matrices(results)
     write_csv(
         results.orderBy("position").select("model", *ev.METRICS, "train_time_s"),
         at("results", "model_results_csv"), single_file=True)
     write_json(results.orderBy("position"), at("results", "model_results_json"), single_file=True)
-    matrices = result_matrices(results)
-    classes = ev.per_class(matrices, by=["model"])
-    write_json(classes.drop("hit").orderBy("model", "level"),
-               at("results", "per_class_metrics"), single_file=True)
+    write_json(
+        ev.per_class(matrices, by=["model"]).drop("hit").orderBy("model", "level"),
+        at("results", "per_class_metrics"), single_file=True)
 
     best = ev.best_and_worst(results, order="position").first()["best"]
     records = alert_sample(
-        test, models[best][1], spec, features, n_alerts, alerts_from == "prediction")
+        test, trained[best], spec, features, n_alerts, alerts_from == "prediction")
     write_json(records.orderBy("datetime"), at("results", "sample_alerts"), single_file=True)
     written = spark.read.schema(records.schema).json(at("results", "sample_alerts"))
 
@@ -145,17 +126,13 @@ def run(
         "temp_vs_volume": bins.hexbin(table, "temp_c", spec.measure),
         "volume_histogram": bins.histogram(
             table, spec.measure, low_max=spec.low_max, high_min=spec.high_min),
+        "model_comparison": ev.metrics_long(results.select("model", *ev.METRICS)),
+        "confusion": ev.named_confusion(matrices, by=["model"]),
+        "feature_importance": charts.importance_bars(
+            tr.importances(trained["RandomForest"].stages[-1], vectors, features)),
     }
     for name, chart in bars.items():
         write_csv(chart, at("charts", name))
-    write_csv(ev.metrics_long(results.select("model", *ev.METRICS)),
-              at("charts", "model_comparison"), single_file=True)
-    write_csv(ev.named_confusion(matrices, by=["model"]),
-              at("charts", "confusion"), single_file=True)
-    write_csv(
-        charts.importance_bars(
-            tr.importances(models["RandomForest"][0], vectors, features)),
-        at("charts", "feature_importance"), single_file=True)
 
     log.finish()
     summary = run_summary(load, table, results, written, best, settings, log)
@@ -163,6 +140,46 @@ def run(
     return spark.read.schema(summary.schema).json(at("results", "run_summary"))
 
 
+def train_all(
+    table: DataFrame, test: DataFrame, out: str, spec: Spec, features: FeatureSpec,
+    settings: ModelSettings, log: RunLog,
+) -> tuple[dict[str, PipelineModel], DataFrame]:
+    """Fit, save and evaluate every candidate; returns the models and the training vectors.
+
+    A model's row is appended to the results as soon as it is evaluated, so a
+    broken run keeps the models it had finished.
+    """
+    spark = table.sparkSession
+    train = ft.complete_rows(table.filter(F.col("split") == "train"), features)
+    feature_model = ft.fit_features(train, features)
+    # Every fit and every iteration reads the training vectors: laid out and
+    # written once, like the observations.
+    columns = dict.fromkeys([spec.key, *features.inputs, "label", "fold"])
+    laid_out = tr.training_layout(train.select(*columns), spec.key, train.count())
+    vectors = write_table(
+        feature_model.transform(laid_out).select("features", "label", "fold"),
+        join_uri(out, "vectors"))
+
+    uri = join_uri(out, "results", "model_results")
+    spark.createDataFrame([], RESULT_SCHEMA).write.mode("overwrite").parquet(uri)
+    trained = {}
+    for position, candidate in enumerate(tr.candidates(settings)):
+        fitted, seconds = tr.fit_timed(
+            candidate, vectors, settings, "fold" if settings.use_cv else None)
+        model = tr.full_model(feature_model, fitted)
+        tr.save_model(model, join_uri(out, "models", candidate.name.lower()))
+        scored = tr.score(test, model, features.scalars)
+        append_table(tr.result_row(position, candidate.name, seconds, fitted, scored), uri)
+        log.record_results(read_results(spark, out).filter(F.col("position") == position))
+        trained[candidate.name] = model
+    return trained, vectors
+
+
+def read_results(spark: SparkSession, out: str) -> DataFrame:
+    """The results table of a run, one row per finished model."""
+    return spark.read.schema(RESULT_SCHEMA).parquet(join_uri(out, "results", "model_results"))
+
+
 def alert_sample(test: DataFrame, model: PipelineModel, spec: Spec, features: FeatureSpec,
                  n: int, predicted: bool) -> DataFrame:
     """Alert records of one row per stratum of the test rows."""
@@ -213,11 +230,3 @@ def run_summary(load: DataFrame, table: DataFrame, results: DataFrame, alerts: D
             F.lit(str(x)) for pair in asdict(settings).items() for x in pair
         ])).alias("settings"),
     )
-
-
-def _result_schema() -> str:
-    return (
-        "position int, model string, train_time_s double, accuracy double, precision double, "
-        "recall double, f1 double, n_rows bigint, confusion_matrix array<array<bigint>>, "
-        "feature_importances array<double>, parameters map<string,string>"
-    )
