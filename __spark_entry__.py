@@ -33,6 +33,13 @@ from rushline.plans.run import prepare, processed_sample  # noqa: E402
 from rushline.sinks import scratch_uri, write_table  # noqa: E402
 from rushline.spec import FeatureSpec, ModelSettings, Spec  # noqa: E402
 
+try:  # the training-data operators are optional: their folder may be absent
+    from rushline.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as absent:
+    if absent.name not in ("rushline.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 OBSERVED = Spec(split_key="event_id")
@@ -600,8 +607,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    ours = {query.__name__: query for query in QUERIES}
+    return ours | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(ORACLES) | (llm.oracle_sql() if llm else {})

@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from tests.oracle_check import compare, connect
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {query.__name__: query for query in contract.QUERIES}
+ORACLES = contract.ORACLES
 TRAINED = {"dt_scores", "rf_scores", "saved_model_scores", "predicted_alerts"}
 
 
@@ -17,7 +17,8 @@ def db(sf_dir):
 
 def test_contract(spark):
     assert set(ORACLES) <= set(QUERIES)
-    assert not [q for q in QUERIES if q.startswith("op")]
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() == 24
 
 
