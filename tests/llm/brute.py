@@ -1,0 +1,72 @@
+"""Plain Python versions of the contracts, for comparison."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SECRET = {
+    "assign": re.compile(
+        r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        re.I | re.A),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def secrets(text: str | None) -> dict:
+    found = []
+    for no, (kind, pattern) in enumerate(SECRET.items()):
+        for m in pattern.finditer(text or ""):
+            size = len(m[2]) if kind == "assign" else len(m[0])
+            if size >= {"assign": 6, "access": 20, "hex": 24}[kind]:
+                found.append((m.start(), no, m.end(), kind))
+    found.sort()
+    counts = Counter(k for *_, k in found)
+    spans = ",".join(f"{k}:{s}:{e}" for s, _, e, k in found)
+    return {"n_assign": counts["assign"], "n_access": counts["access"], "n_hex": counts["hex"],
+            "base": spans, "base_sha256": sha(spans)}
+
+
+def quality(text: str | None) -> dict:
+    text = text or ""
+    words = WORD.findall(text)
+    grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text), "n_dup_lines": dup,
+        "n_repeat_words": len(covered),
+        "base_failed": len(words) < 50 or 100 * len(covered) > 50 * len(words)}
+
+
+def lower(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def url(text: str | None, rules) -> tuple:
+    if text is None or "://" not in text:
+        return "", "", None, None
+    rest = text.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = lower(host)
+    best = None
+    for rule, verdict in rules:
+        rule_host, _, rule_path = rule.partition("/")
+        if (host == rule_host or host.endswith("." + rule_host)) and path.startswith("/" + rule_path):
+            if best is None or len(rule) > len(best[0]):
+                best = (rule, verdict)
+    return host, path, *(best or (None, None))
