@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, scratch_uri(df.sparkSession, name))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -71,3 +82,24 @@ def running_starts(lengths: Column, block: int = 128) -> Column:
                 v, (F.floor(i / block) * block + 1).cast("int"), i % block))))
 
     return let(lengths, with_heads)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application.
+
+    Python workers import the operators by name; a cluster's machines need no
+    installed copy. Spark serves the archive, also to executors that come later.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="rushline-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
