@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from rushline.llm.common import ship_package, stored
 
+#: Lengths, in bytes, of the beginnings of words that are features.
+PREFIXES = (4, 5, 6, 7, 8)
+CACHE_ENTRIES = 400_000
 #: Words of lower-cased UTF-8 text.
 WORD_BYTES = re.compile(rb"[0-9a-z\x80-\xff]+")
 FOLDS = 4
@@ -43,9 +46,11 @@ class Training:
     parts: int = 3
     vocabulary: int = 2000
     min_texts: int = 3
+    #: Least two-proportion statistic of a word, in standard deviations.
+    min_contrast: float = 4.0
     steps: int = 300
     rate: float = 0.1
-    ridge: float = 1e-4
+    ridge: float = 3e-5
     seed: int = 7
 
 
@@ -61,6 +66,29 @@ def words_of_text(text: str | None) -> set[bytes]:
     return set(WORD_BYTES.findall(text.encode().lower())) if text else set()
 
 
+def features_of(word: bytes) -> list[bytes]:
+    """The word, and its beginnings, which inflected words share."""
+    return [word, *(b"^" + word[:n] for n in PREFIXES if len(word) > n)]
+
+
+class KnownFeatures(dict):
+    """The features of a word that the model weighs, remembered per worker."""
+
+    def __init__(self, weights):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: bytes) -> tuple[bytes, ...]:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        self[word] = known = tuple(f for f in features_of(word) if f in self.weights)
+        return known
+
+    def of_text(self, text: str | None) -> set[bytes]:
+        known = map(self.__getitem__, words_of_text(text))
+        return {feature for word in known if word for feature in word}
+
+
 def sampled(name: str, expected: int, rows: int, *by: Column) -> Column:
     """Whether a row is in a hash sample of so many expected rows."""
     share = min(1.0, expected / max(rows, 1))
@@ -108,10 +136,20 @@ def training_rows(
     ).select("part", "doc_id", F.explode("roles").alias("positive"), "text"), prior
 
 
+def prior_bias(logits: np.ndarray, prior: float) -> float:
+    """The bias with which unlabelled texts score the class prior on average."""
+    low, high = -60.0 - logits.max(), 60.0 - logits.min()
+    for _ in range(60):
+        middle = (low + high) / 2
+        mean = (1.0 / (1.0 + np.exp(-np.clip(logits + middle, -60, 60)))).mean()
+        low, high = (middle, high) if mean < prior else (low, middle)
+    return (low + high) / 2
+
+
 def nnpu_fit(
     texts: list[set[bytes]], positive: np.ndarray, prior: float, settings: Training,
 ) -> tuple[dict[bytes, float], float]:
-    """Word weights and bias of one linear classifier.
+    """Feature weights and bias of one linear classifier.
 
     The risk is prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the logistic
     loss. Where the bracket is negative its gradient is turned round, so the fit
@@ -131,8 +169,9 @@ def nnpu_fit(
         mean = (pair[0] + pair[1] + 1) / (n_pos + n_unl + 2)
         return (p - u) / math.sqrt(mean * (1 - mean) * (1 / n_pos + 1 / n_unl))
 
-    ranked = sorted(((-abs(contrast(c)), w) for w, c in counts.items()
-                     if sum(c) >= settings.min_texts))[:settings.vocabulary]
+    ranked = sorted(
+        (-abs(z), w) for w, c in counts.items() if sum(c) >= settings.min_texts
+        and abs(z := contrast(c)) >= settings.min_contrast)[:settings.vocabulary]
     place = {w: i for i, (_, w) in enumerate(ranked)}
     rows = [sorted(place[w] for w in words if w in place) for words in texts]
     length = np.array([len(r) for r in rows])
@@ -159,6 +198,8 @@ def nnpu_fit(
         move = settings.rate * (mean / (1 - 0.9 ** step)) / (
             np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
         weight, bias = weight - move[:-1], bias - move[-1]
+    z = np.bincount(row, weights=weight[column], minlength=len(rows))[~positive]
+    bias = prior_bias(z, prior)
     return {w: float(weight[i]) for w, i in place.items()}, float(bias)
 
 
@@ -174,7 +215,7 @@ def train(
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["doc_id", "positive"], kind="stable")
-        texts = [words_of_text(t) for t in part["text"]]
+        texts = [{f for w in words_of_text(t) for f in features_of(w)} for t in part["text"]]
         weights, bias = nnpu_fit(texts, part["positive"].to_numpy(dtype=bool), prior, settings)
         return pd.DataFrame({"word": [None, *weights], "weight": [bias, *weights.values()]})
 
@@ -199,11 +240,11 @@ def score(docs: DataFrame, model: tuple[dict[bytes, float], float] | None) -> Co
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, bias = held.value
-        known = weights.keys()
+        known = KnownFeatures(weights)
         for texts in batches:
             # Sorted, so that equal texts add up in the same order everywhere.
             logits = np.array([
-                bias + sum(weights[w] for w in sorted(known & words_of_text(t))) for t in texts])
+                bias + sum(weights[f] for f in sorted(known.of_text(t))) for t in texts])
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500))))
 
     return scored.asNondeterministic()(F.col("text").cast("string"))

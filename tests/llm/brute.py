@@ -70,3 +70,61 @@ def url(text: str | None, rules) -> tuple:
             if best is None or len(rule) > len(best[0]):
                 best = (rule, verdict)
     return host, path, *(best or (None, None))
+
+BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(text: str | None, items: list[tuple]) -> dict:
+    words = BENCH_WORD.findall(lower(text or ""))
+    hit, names = set(), set()
+    for item, item_text in items:
+        own = BENCH_WORD.findall(lower(item_text or ""))
+        size = min(13, len(own))
+        windows = {tuple(own[i:i + size]) for i in range(len(own) - size + 1)} if own else set()
+        for i in range(len(words) - size + 1):
+            if tuple(words[i:i + size]) in windows:
+                hit.update(range(i, i + size))
+                names.add("" if item is None else str(item))
+    return {
+        "n_words": len(words), "n_hit": len(hit), "n_items": len(names),
+        "items_sha256": sha(",".join(sorted(names))),
+        "contaminated": bool(hit) and 20 * len(hit) >= len(words)}
+
+
+def shingles(text: str | None, size: int = 4) -> set:
+    words = WORD.findall(lower(text or ""))
+    if not words:
+        return set()
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} or {tuple(words)}
+
+
+def components(sets: list[set], percent: int = 85) -> list[int]:
+    """Position of the first set each set is linked to, directly or not."""
+    parent = list(range(len(sets)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return [root(i) for i in range(len(sets))]
+
+
+def targets(sizes: dict, weights=(5, 2, 1), most=3) -> dict:
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    capped, total = set(), sum(sizes.values())
+    while True:
+        left = total - sum(most * sizes[s] for s in capped)
+        free = sum(weight[s] for s in names if s not in capped)
+        out = {s: most * sizes[s] if s in capped else left * weight[s] / free for s in names}
+        over = {s for s in names if s not in capped and out[s] > most * sizes[s]}
+        if not over:
+            return out
+        capped |= over
