@@ -29,9 +29,14 @@ from rushline.operators import profile as pr  # noqa: E402
 from rushline.operators import split as sp  # noqa: E402
 from rushline.operators import training as tr  # noqa: E402
 from rushline.plans import report  # noqa: E402
-from rushline.plans.run import prepare, processed_sample  # noqa: E402
-from rushline.sinks import scratch_uri, write_table  # noqa: E402
-from rushline.spec import FeatureSpec, ModelSettings, Spec  # noqa: E402
+from rushline.plans.run import alert_sample, prepare, processed_sample  # noqa: E402
+from rushline.sinks import scratch_uri, write_csv, write_json  # noqa: E402
+from rushline.sources import (  # noqa: E402
+    RAW_SCHEMA, first_available, read_observations, read_report_csv,
+)
+from rushline.spec import (  # noqa: E402
+    LEVEL_INDEX, QUANTILE_PROBS, FeatureSpec, ModelSettings, Spec,
+)
 
 try:  # the training-data operators are optional: their folder may be absent
     from rushline.llm import queries as llm  # noqa: E402
@@ -158,9 +163,30 @@ def quantiles_exact_lineitem(spark, sf_dir):
     return _rounded(found, "value")
 
 
+SKETCHED = ("l_extendedprice", "l_quantity")
+RANK_ERROR = 0.001
+
+
 def quantiles_approx(spark, sf_dir):
-    return pr.approx_quantiles(
-        _table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_quantity"])
+    """Whether each sketched quantile's rank, counted over the whole column, is within
+    the promised error of its probability."""
+    rows = _table(spark, sf_dir, "lineitem")
+    found = pr.approx_quantiles(rows, SKETCHED, relative_error=RANK_ERROR)
+    wanted = [(c, p) for c in SKETCHED for p in QUANTILE_PROBS]
+    values = found.agg(*[
+        F.max(F.when((F.col("column") == c) & (F.col("prob") == p), F.col("value"))).alias(f"v{i}")
+        for i, (c, p) in enumerate(wanted)])
+    value = [values.select(f"v{i}").scalar() for i in range(len(wanted))]
+    ranked = rows.agg(F.count(F.lit(1)).alias("n"), *[
+        x for i, (c, _) in enumerate(wanted)
+        for x in (F.count_if(F.col(c) < value[i]).alias(f"lt{i}"),
+                  F.count_if(F.col(c) <= value[i]).alias(f"le{i}"))])
+    slack = F.lit(2 * RANK_ERROR) * F.col("n") + 1
+    return ranked.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
+                 ((F.col(f"lt{i}") <= p * F.col("n") + slack)
+                  & (F.col(f"le{i}") >= p * F.col("n") - slack)).alias("within"))
+        for i, (c, p) in enumerate(wanted)])))
 
 
 def load_summary(spark, sf_dir):
@@ -173,21 +199,29 @@ def profile_suite(spark, sf_dir):
     return _rounded(suite, "avg_volume")
 
 
+def profile_categories_wide(spark, sf_dir):
+    """A category with a value for every few rows beside a narrow one."""
+    suite = pr.profile_suite(
+        _table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice",
+        ["o_custkey", "o_orderstatus"])
+    return _rounded(suite, "avg_volume", digits=1)
+
+
 def profile_document(spark, sf_dir):
-    """The nested profile of all observations as one JSON text."""
+    """The profile of all observations in long form: a row per figure."""
     rows = observations(spark, sf_dir)
-    spec = OBSERVED
-    totals, cells, hourly = (
-        write_table(table, scratch_uri(spark, name)) for name, table in (
-            ("totals", pr.table_totals(rows, spec.numeric, [spec.measure, spec.temp])),
-            ("cells", pr.profile_cells(
-                rows, spec.time, spec.measure, [spec.category, spec.holiday])),
-            ("hourly", pr.hourly_profile(rows, spec.time, spec.measure)),
-        )
-    )
-    document = report.profile_document(
-        rows.dtypes, totals, report.profile_tables(totals, cells, hourly, spec), spec)
-    return document.select(F.to_json(F.struct("*")).alias("document"))
+    totals = pr.table_totals(rows, OBSERVED.numeric, [OBSERVED.measure, OBSERVED.temp])
+    cells = pr.profile_cells(
+        rows, OBSERVED.time, OBSERVED.measure, [OBSERVED.category, OBSERVED.holiday])
+    hourly = pr.hourly_profile(rows, OBSERVED.time, OBSERVED.measure)
+    return _rounded(
+        report.profile_rows(totals, report.profile_tables(totals, cells, hourly, OBSERVED)), "value")
+
+
+def describe_text(spark, sf_dir):
+    """Statistics laid out as text; those that do not depend on the order of a sum."""
+    laid_out = pr.describe_text(_table(spark, sf_dir, "part"), ["p_size", "p_retailprice"])
+    return laid_out.filter(F.col("summary").isin("count", "min", "max"))
 
 
 def dow_chart(spark, sf_dir):
@@ -256,6 +290,17 @@ def day_name(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def holiday_null_rule(spark, sf_dir):
+    """A NULL holiday is none, and a holiday row marks its whole day."""
+    spec = Spec(null_is_holiday=False, whole_day_holidays=True)
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").alias("date_time"),
+        F.when(F.col("o_orderkey") % 997 == 0, "Labor Day")
+        .when(F.col("o_orderstatus") == "F", "None").alias("holiday"),
+        F.lit(290.0).alias("temp"))
+    return cl.add_derived(orders, spec).select("o_orderkey", "is_holiday")
+
+
 def holiday_days(spark, sf_dir):
     """Any row at midnight of the first marks its whole day."""
     marked = _table(spark, sf_dir, "events").select(
@@ -314,15 +359,20 @@ def deterministic_sample(spark, sf_dir):
 
 
 def processed_rows(spark, sf_dir):
-    """The twelve-column sample over observations keyed by event."""
-    spec = Spec(time="event_id")
-    return processed_sample(prepare(observations(spark, sf_dir), OBSERVED), spec)
+    """The twelve-column sample over observations, hash order of the event."""
+    return processed_sample(prepare(observations(spark, sf_dir), OBSERVED), OBSERVED)
 
 
 def hash_split_counts(spark, sf_dir):
     return sp.split_counts(sp.add_split(_table(spark, sf_dir, "events"), "event_id"))
 
 
+def hash_split_seeded(spark, sf_dir):
+    """Another draw of the split, with a share of no whole percent."""
+    split = sp.add_split(_table(spark, sf_dir, "events"), "event_id", 0.855, "second")
+    return split.select("event_id", "split")
+
+
 def hash_folds(spark, sf_dir):
     return sp.add_fold(_table(spark, sf_dir, "orders"), "o_orderkey", 3).groupBy("fold").agg(
         F.count(F.lit(1)).alias("n"))
@@ -332,6 +382,10 @@ def category_index(spark, sf_dir):
     return ft.category_index(_table(spark, sf_dir, "events"), "event_type")
 
 
+def category_index_wide(spark, sf_dir):
+    return ft.category_index(_table(spark, sf_dir, "orders"), "o_custkey")
+
+
 def label_index(spark, sf_dir):
     labelled = ft.add_label(
         cl.add_level(_table(spark, sf_dir, "lineitem").select("l_quantity"), QUANTITY))
@@ -487,57 +541,64 @@ def adhoc_alerts(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# Training on the hourly rule
+# Training on levels that follow a rule
 # --------------------------------------------------------------------------
 
 SETTINGS = ModelSettings()
 
 
-def _trained(spark, sf_dir, name):
-    """(test rows, fitted classifier, full model, vectors) for one classifier."""
-    test, feature_model, vectors = _training_set(hourly_rule(spark, sf_dir))
-    candidate = next(c for c in tr.candidates(SETTINGS) if c.name == name)
-    fitted, _ = tr.fit_timed(candidate, vectors, SETTINGS)
-    return test, fitted, tr.full_model(feature_model, fitted), vectors
+def cell_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared observations whose level needs hour, weekend and weather together.
+
+    Every 17th event has no temperature, so no model may predict it.
+    """
+    weekend = F.dayofweek("date_time").isin(1, 7).cast("int")
+    rain = (F.col("weather_main") == "Rain").cast("int")
+    ruled = observations(spark, sf_dir).withColumns({
+        "traffic_volume": F.hour("date_time") * 150 + weekend * 800 + rain * 600,
+        "temp": F.when(F.col("event_id") % 17 != 0, F.col("temp")),
+    })
+    return prepare(ruled, OBSERVED)
 
 
 def _training_set(rows, features=FeatureSpec()):
-    """(test rows, fitted feature stages, training vectors) of prepared rows.
-
-    The vectors are written to the shared scratch folder: the layout shuffle
-    runs once, however often a fit reads them.
-    """
+    """(test rows, fitted feature stages, kept training vectors) of prepared rows."""
     train = ft.complete_rows(rows.filter(F.col("split") == "train"), features)
     feature_model = ft.fit_features(train, features)
-    laid_out = tr.training_layout(
-        train.select("event_id", *features.inputs, "label", "fold"), "event_id", train.count())
-    vectors = write_table(
-        feature_model.transform(laid_out).select("features", "label", "fold"),
-        scratch_uri(rows.sparkSession, "vectors"))
+    vectors = tr.training_vectors(
+        train, feature_model, "event_id", [*features.inputs, "label", "fold"])
     return rows.filter(F.col("split") == "test"), feature_model, vectors
 
 
-def _score_counts(spark, sf_dir, name):
-    test, _, model, _ = _trained(spark, sf_dir, name)
+def _trained(rows, name):
+    """(test rows, fitted classifier, full model, vectors) for one classifier."""
+    test, feature_model, vectors = _training_set(rows)
+    fitted, _ = tr.fit_timed(tr.candidate(name, SETTINGS), vectors, SETTINGS)
+    vectors.unpersist()
+    return test, fitted, tr.full_model(feature_model, fitted), vectors
+
+
+def _score_counts(rows, name):
+    test, _, model, _ = _trained(rows, name)
     return tr.score(test, model).groupBy("congestion", "predicted_level").agg(
         F.count(F.lit(1)).alias("n"))
 
 
 def lr_scores(spark, sf_dir):
-    return _score_counts(spark, sf_dir, "LogisticRegression")
+    return _score_counts(hourly_rule(spark, sf_dir), "LogisticRegression")
 
 
 def dt_scores(spark, sf_dir):
-    return _score_counts(spark, sf_dir, "DecisionTree")
+    return _score_counts(cell_rule(spark, sf_dir), "DecisionTree")
 
 
 def rf_scores(spark, sf_dir):
-    return _score_counts(spark, sf_dir, "RandomForest")
+    return _score_counts(hourly_rule(spark, sf_dir), "RandomForest")
 
 
 def saved_model_scores(spark, sf_dir):
     """Save the whole model, load it, score rows that carry no label."""
-    test, _, model, _ = _trained(spark, sf_dir, "DecisionTree")
+    test, _, model, _ = _trained(cell_rule(spark, sf_dir), "DecisionTree")
     uri = tr.save_model(model, scratch_uri(spark, "decisiontree"))
     unlabelled = test.drop("label", "congestion", "traffic_volume")
     return tr.score(unlabelled, tr.load_model(uri)).groupBy("predicted_level").agg(
@@ -545,24 +606,33 @@ def saved_model_scores(spark, sf_dir):
 
 
 def predicted_alerts(spark, sf_dir):
-    """Alerts from model predictions and probabilities, for every test row."""
-    test, _, model, _ = _trained(spark, sf_dir, "DecisionTree")
-    scored = al.contexts(tr.score(test, model), level="predicted_level")
-    return scored.select("event_id", al.alert_text().alias("alert"))
+    """Alerts from model predictions and probabilities, for every predicted test row."""
+    test, _, model, _ = _trained(cell_rule(spark, sf_dir), "DecisionTree")
+    predicted = tr.score(test, model).filter(F.col("predicted_level").isNotNull())
+    return al.contexts(predicted, level="predicted_level").select(
+        "event_id", al.alert_text().alias("alert"))
 
 
 def importances(spark, sf_dir):
-    _, fitted, _, vectors = _trained(spark, sf_dir, "RandomForest")
-    return charts.importance_bars(tr.importances(fitted, vectors))
+    """The slots of a forest on the hourly rule: which is first, and the sum of all."""
+    _, fitted, _, vectors = _trained(hourly_rule(spark, sf_dir), "RandomForest")
+    bars = charts.importance_bars(tr.importances(fitted, vectors))
+    first = bars.agg(F.max_by("feature", "importance")).scalar()
+    total = bars.agg(F.round(F.sum("importance"), 6)).scalar()
+    return bars.select(
+        F.lower("feature").alias("feature"), (F.col("feature") == first).alias("is_top"),
+        total.alias("total"))
 
 
 def importances_by_source(spark, sf_dir):
-    _, fitted, _, vectors = _trained(spark, sf_dir, "DecisionTree")
-    return charts.importance_bars(tr.importances(fitted, vectors, by_source=True))
+    _, fitted, _, vectors = _trained(hourly_rule(spark, sf_dir), "DecisionTree")
+    return _rounded(charts.importance_bars(
+        tr.importances(fitted, vectors, by_source=True)), "importance")
 
 
 def model_results(spark, sf_dir):
-    """All three models on the level of the events' own values."""
+    """All three models on the level of the events' own values: the figures of each
+    result row that follow from the rows, and whether its metrics follow from its matrix."""
     features = FeatureSpec(scalars=("hour", "day_of_week", "is_weekend", "clouds_all"))
     test, feature_model, vectors = _training_set(
         prepare(observations(spark, sf_dir), OBSERVED), features)
@@ -572,14 +642,110 @@ def model_results(spark, sf_dir):
         scored = tr.score(test, tr.full_model(feature_model, fitted), features.scalars)
         row = tr.result_row(position, candidate.name, seconds, fitted, scored)
         table = row if table is None else table.unionByName(row)
-    return table
+    vectors.unpersist()
+    matrix = F.col("confusion_matrix")
 
+    def total(cells):
+        return F.aggregate(cells, F.lit(0).cast("long"), lambda a, x: a + x)
 
-def cv_best(spark, sf_dir):
-    """Three-fold search over tree depths, folds by key hash."""
+    hits = sum((matrix[i][i] for i in range(1, 3)), matrix[0][0])
+    return table.select(
+        "position", "model", "n_rows",
+        *[total(matrix[i]).alias(f"support_{name}") for i, name in enumerate(LEVEL_INDEX)],
+        (F.round(hits / F.col("n_rows"), 4) == F.col("accuracy")).alias("accuracy_follows"),
+        (F.col("train_time_s") > 0).alias("timed"),
+        F.array_join(F.transform(F.array_sort(F.map_entries("parameters")), lambda e: F.concat(
+            e["key"], F.lit("="), e["value"])), ",").alias("parameters"))
+
+
+def _tuned(spark, sf_dir, name, settings):
+    """(position, params as text, f1, is_best) of a three-fold search, folds by key hash."""
     _, _, vectors = _training_set(hourly_rule(spark, sf_dir))
-    tree = next(c for c in tr.candidates(SETTINGS) if c.name == "DecisionTree")
-    return tr.cv_scores(spark, tr.cross_validate(tree, vectors, SETTINGS, "fold"))
+    fitted = tr.cross_validate(tr.candidate(name, settings), vectors, settings, "fold")
+    vectors.unpersist()
+    return tr.cv_scores(spark, fitted).select(
+        "position", F.array_join(F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat(
+            e["key"], F.lit("="), e["value"])), ",").alias("params"),
+        F.round("f1", 4).alias("f1"), "is_best")
+
+
+def cv_best(spark, sf_dir):
+    """Search over tree depths."""
+    return _tuned(spark, sf_dir, "DecisionTree", SETTINGS)
+
+
+def cv_best_linear(spark, sf_dir):
+    """Search over regularisation: none wins on a rule without noise."""
+    settings = SETTINGS.fitted_with("LogisticRegression", maxIter=30).tuned_over(
+        "LogisticRegression", regParam=[0.0, 0.3], elasticNetParam=[0.0])
+    return _tuned(spark, sf_dir, "LogisticRegression", settings).drop("f1")
+
+
+def cv_best_forest(spark, sf_dir):
+    """Search over depths too small and large enough for the rule."""
+    settings = SETTINGS.fitted_with("RandomForest", numTrees=10, featureSubsetStrategy="all")
+    return _tuned(spark, sf_dir, "RandomForest", settings.tuned_over(
+        "RandomForest", maxDepth=[1, 4])).drop("f1")
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks: written below the session's shared folder, read again
+# --------------------------------------------------------------------------
+
+def _raw_observations(spark, sf_dir):
+    """Observations in the layout of the raw file, times to the second."""
+    rows = observations(spark, sf_dir).withColumn(
+        "date_time", F.date_trunc("second", "date_time").cast("timestamp"))
+    return rows.select(*[f.name for f in RAW_SCHEMA.fields])
+
+
+def _read_raw(df):
+    return df.withColumn("date_time", F.date_format("date_time", pr.TIME_FORMAT))
+
+
+def csv_scan(spark, sf_dir):
+    """Typed scan of CSV files with a header."""
+    uri = write_csv(_raw_observations(spark, sf_dir), scratch_uri(spark, "raw"))
+    return _read_raw(read_observations(spark, uri))
+
+
+def gzip_csv_scan(spark, sf_dir):
+    """The first source that exists is a folder of gzip files."""
+    uri = scratch_uri(spark, "raw_gzip")
+    _raw_observations(spark, sf_dir).write.option("header", True).option(
+        "compression", "gzip").csv(uri)
+    df, _ = first_available(spark, [scratch_uri(spark, "absent"), uri], rebalance=True)
+    return _read_raw(df)
+
+
+def saved_profile(spark, sf_dir):
+    """The category table of a written profile, read back as CSV."""
+    uri = scratch_uri(spark, "profile")
+    report.write_profile(observations(spark, sf_dir), uri, OBSERVED)
+    return _rounded(read_report_csv(
+        spark, f"{uri}/profile_weather_volume",
+        "weather_main string, avg_volume double, n_records bigint"), "avg_volume")
+
+
+def saved_class_counts(spark, sf_dir):
+    levels = cl.add_level(_table(spark, sf_dir, "lineitem").select("l_quantity"), QUANTITY)
+    uri = write_csv(pr.class_counts(levels), scratch_uri(spark, "class_counts"), single_file=True)
+    return read_report_csv(spark, uri, "congestion string, count bigint")
+
+
+def saved_class_metrics(spark, sf_dir):
+    """Per-class metrics as JSON lines, read back."""
+    uri = write_json(per_class_metrics(spark, sf_dir), scratch_uri(spark, "per_class"))
+    return spark.read.schema(
+        "model string, level string, precision double, recall double, f1 double, support bigint"
+    ).json(uri)
+
+
+def saved_alerts(spark, sf_dir):
+    """Alert records of observed levels as JSON, read back."""
+    rows = alert_sample(prepare(observations(spark, sf_dir), OBSERVED), OBSERVED, 8, False)
+    uri = write_json(rows, scratch_uri(spark, "alerts"), single_file=True)
+    return spark.read.schema(rows.schema).json(uri).select("datetime", "predicted_level", "alert")
 
 
 # --------------------------------------------------------------------------
@@ -589,15 +755,17 @@ def cv_best(spark, sf_dir):
 QUERIES = (
     hourly_profile, dow_profile, monthly_profile, category_profile, text_category_profile,
     category_topn, category_topn_many, numeric_summary, null_audit, quantiles_exact,
-    quantiles_exact_lineitem, quantiles_approx, load_summary, profile_suite, profile_document, dow_chart,
+    quantiles_exact_lineitem, quantiles_approx, load_summary, profile_suite,
+    profile_categories_wide, profile_document, describe_text, dow_chart,
     category_chart, clean_observations, clean_filter_first, distinct_customers,
-    calendar_features, hour_buckets, day_name, holiday_days, null_defaults, congestion_label,
+    calendar_features, hour_buckets, day_name, holiday_null_rule, holiday_days, null_defaults, congestion_label,
     class_counts, stratified_pick, deterministic_sample, processed_rows, hash_split_counts,
-    hash_folds, category_index, label_index, one_hot_flat, assembled_features, histogram50, hexbin40,
+    hash_split_seeded, hash_folds, category_index, category_index_wide, label_index, one_hot_flat, assembled_features, histogram50, hexbin40,
     confusion_dense, confusion_named, weighted_metrics, per_class_metrics, metrics_long,
     best_worst_model, model_gap, best_recall_range, alert_text, prompt_table, request_bodies,
     response_parse, adhoc_alerts, lr_scores, dt_scores, rf_scores, saved_model_scores,
-    predicted_alerts, importances, importances_by_source, model_results, cv_best,
+    predicted_alerts, importances, importances_by_source, model_results, cv_best, cv_best_linear, cv_best_forest,
+    csv_scan, gzip_csv_scan, saved_profile, saved_class_counts, saved_class_metrics, saved_alerts,
 )
 
 

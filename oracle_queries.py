@@ -77,6 +77,7 @@ PROMPT = """
   || '- Temperature: ' || printf('%.1f', temp_c) || '°C' || chr(10)
   || '- Holiday: ' || holiday || chr(10) || chr(10) || 'Write the alert.'"""
 
+# Fixed value: the published system prompt.
 SYSTEM = (
     "You are a concise traffic-alert writer for a U.S. metropolitan area. Given a structured "
     "congestion prediction, produce a single short alert (2–3 sentences, plain English, no "
@@ -174,6 +175,33 @@ def _slots() -> str:
     ])
 
 
+RULE_SCORES = f"""
+        with {RULE} select level as congestion, level as predicted_level, count(*) as n
+        from ruled where not is_train group by level"""
+
+# The level of hour, weekend and rain together; every 17th event lacks an input.
+CELL_RULE = """
+volumes as (
+  select *, hour(ts) * 150 + case when dayofweek(ts) in (0, 6) then 800 else 0 end
+    + case when event_type = 'click' then 600 else 0 end as volume from events
+),
+ruled as (
+  select *, case when volume <= 1500 then 'low' when volume >= 3500 then 'high'
+      else 'medium' end as level,
+    case when event_id % 17 <> 0 then level end as predicted,
+    concat('0x', substr(md5(event_id::varchar), 1, 8))::bigint % 100 < 80 as is_train
+  from volumes
+)"""
+
+SCALARS = ("hour", "day_of_week", "month", "is_weekend", "is_holiday", "temp_c", "rain_1h",
+           "snow_1h", "clouds_all")
+WEATHERS = ("clear", "clouds", "rain", "snow", "fog")
+
+RAW_FILE = f"""
+    with {OBS} select holiday, temp, rain_1h, snow_1h, clouds_all, weather_main, weather_description,
+      strftime(date_trunc('second', date_time), '%Y-%m-%d %H:%M:%S') as date_time, traffic_volume
+    from obs"""
+
 HOURLY_EVENTS = """
 hourly as (
   select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as hour_start, value, event_id,
@@ -306,7 +334,7 @@ ORACLES: dict[str, str] = {
         order by md5(event_id::varchar), event_id limit 4000""",
     "processed_rows": f"""
         with {DERIVED}
-        select event_id::varchar as event_id, hour, day_of_week, is_weekend,
+        select date_time::varchar as date_time, hour, day_of_week, is_weekend,
           temp_c, rain_1h, snow_1h, weather_main, season, is_holiday,
           traffic_volume, congestion
         from derived order by md5(event_id::varchar), event_id limit 4000""",
@@ -315,7 +343,7 @@ ORACLES: dict[str, str] = {
           then 'train' else 'test' end as split, count(*) as n from events group by 1""",
     "hash_folds": """
         select (concat('0x', substr(md5('fold' || o_orderkey::varchar), 1, 8))::bigint
-          % 100 % 3)::integer as fold, count(*) as n from orders group by 1""",
+          % 3)::integer as fold, count(*) as n from orders group by 1""",
     "category_index": """
         select event_type as value, count(*) as n,
           (row_number() over (order by count(*) desc, event_type) - 1)::double as "index"
@@ -406,19 +434,120 @@ ORACLES: dict[str, str] = {
         select event_id, """ + ALERT.format(
         level="level", day="'Monday'", hour="hour", percent="80", weather="'Clear'",
         detail="'sky is clear'", holiday="'None'") + " as alert from asked",
+    "lr_scores": RULE_SCORES,
+    "rf_scores": RULE_SCORES,
     "dt_scores": f"""
-        with {RULE} select level as congestion, level as predicted_level, count(*) as n
-        from ruled where not is_train group by level""",
-    "rf_scores": f"""
-        with {RULE} select level as congestion, level as predicted_level, count(*) as n
-        from ruled where not is_train group by level""",
+        with {CELL_RULE} select level as congestion, predicted as predicted_level, count(*) as n
+        from ruled where not is_train group by all""",
     "saved_model_scores": f"""
-        with {RULE} select level as predicted_level, count(*) as n
-        from ruled where not is_train group by level""",
+        with {CELL_RULE} select predicted as predicted_level, count(*) as n
+        from ruled where not is_train group by all""",
     "predicted_alerts": f"""
-        with {RULE}, {OBS}
+        with {CELL_RULE}, {OBS}
         select r.event_id, """ + ALERT.format(
         level="r.level", day=DAY_NAME.format("r.ts"), hour="hour(r.ts)", percent="100",
         weather="o.weather_main", detail="o.weather_description", holiday="o.holiday") + """
-        as alert from ruled r join obs o on r.event_id = o.event_id where not is_train""",
+        as alert from ruled r join obs o on r.event_id = o.event_id
+        where not is_train and predicted is not null""",
+    "importances": "select unnest([" + ", ".join(
+        f"'{s}'" for s in (*SCALARS, *(f"weather_main_vec_{w}" for w in WEATHERS),
+                           "season_vec_winter")) + """]) as feature,
+          feature = 'hour' as is_top, 1.0::double as total""",
+    "importances_by_source": "select unnest([" + ", ".join(
+        f"'{s}'" for s in (*SCALARS, "weather_main", "season")) + """]) as feature,
+          case when feature = 'hour' then 1.0 else 0.0 end::double as importance""",
+    "model_results": f"""
+        with {DERIVED}, tests as (
+          select congestion, count(*) as n from derived
+          where not concat('0x', substr(md5(event_id::varchar), 1, 8))::bigint % 100 < 80
+          group by 1),
+        totals as (select sum(n)::bigint as n_rows,
+          coalesce(sum(n) filter (congestion = 'high'), 0)::bigint as support_high,
+          coalesce(sum(n) filter (congestion = 'low'), 0)::bigint as support_low,
+          coalesce(sum(n) filter (congestion = 'medium'), 0)::bigint as support_medium from tests)
+        select position, model, n_rows, support_high, support_low, support_medium,
+          true as accuracy_follows, true as timed, parameters
+        from totals, (values
+          (0, 'LogisticRegression', 'class=LogisticRegressionModel,elasticNetParam=0.0,maxIter=100,regParam=0.0'),
+          (1, 'DecisionTree', 'class=DecisionTreeClassificationModel,maxBins=64,maxDepth=7'),
+          (2, 'RandomForest', 'class=RandomForestClassificationModel,featureSubsetStrategy=log2,'
+            || 'maxBins=64,maxDepth=15,numTrees=50,subsamplingRate=0.9')) m(position, model, parameters)""",
+    "cv_best": """
+        select unnest([0, 1, 2, 3])::integer as position,
+          'maxDepth=' || (6 + 2 * position) as params, 1.0::double as f1, position = 0 as is_best""",
+    "cv_best_linear": """
+        select unnest([0, 1])::integer as position,
+          'elasticNetParam=0.0,regParam=' || ['0.0', '0.3'][position + 1] as params,
+          position = 0 as is_best""",
+    "cv_best_forest": """
+        select unnest([0, 1])::integer as position,
+          'maxDepth=' || [1, 4][position + 1] as params, position = 1 as is_best""",
+    "quantiles_approx": """
+        select c as "column", p as prob, true as within
+        from (select unnest(['l_extendedprice', 'l_quantity']) as c),
+          (select unnest([0.05, 0.25, 0.5, 0.75, 0.95]::double[]) as p)""",
+    "profile_categories_wide": """
+        select case when grouping(h) = 0 then 'hour' when grouping(d) = 0 then 'dow'
+            when grouping(m) = 0 then 'month' when grouping(c) = 0 then 'o_custkey'
+            else 'o_orderstatus' end as dimension, coalesce(h, d, m, c, o_orderstatus) as value,
+          round(avg(o_totalprice), 1) as avg_volume, count(*) as n_records
+        from (select hour(o_orderdate)::varchar as h, (dayofweek(o_orderdate) + 1)::varchar as d,
+            month(o_orderdate)::varchar as m, o_custkey::varchar as c, * from orders)
+        group by grouping sets ((h), (d), (m), (c), (o_orderstatus))""",
+    "profile_document": f"with {OBS}, long as (" + " union all ".join([
+        "select 'totals' as section, 'rows' as key, 'row_count' as name, count(*)::double as value from obs",
+        *[f"select 'null_counts', '{c}', 'nulls', count(*) filter ({c} is null) from obs"
+          for c in ("event_id", "holiday", "temp", "rain_1h", "snow_1h", "clouds_all",
+                    "weather_main", "weather_description", "date_time", "traffic_volume")],
+        *[f"select 'numeric_summary', '{k}', '{c}', {f}({c})::double from obs"
+          for c in ("temp", "rain_1h", "snow_1h", "clouds_all", "traffic_volume")
+          for k, f in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"),
+                       ("min", "min"), ("max", "max"))],
+        "select 'profile_weather_main', weather_main, 'count', count(*) from obs group by 2",
+        "select 'profile_holiday', holiday, 'count', count(*) from obs group by 2",
+        *[f"select 'profile_hourly_volume', hour(date_time)::varchar, '{n}', {f} from obs group by 2"
+          for n, f in (("avg_volume", "avg(traffic_volume)"), ("n_records", "count(*)"),
+                       ("median_volume", "quantile_disc(traffic_volume, 0.5)"))],
+        *[f"select 'profile_dow_volume', (dayofweek(date_time) + 1)::varchar, '{n}', {f} from obs group by 2"
+          for n, f in (("avg_volume", "avg(traffic_volume)"), ("n_records", "count(*)"))],
+        "select 'profile_monthly_volume', month(date_time)::varchar, 'avg_volume', "
+        "avg(traffic_volume) from obs group by 2",
+        *[f"select 'profile_weather_volume', weather_main, '{n}', {f} from obs group by 2"
+          for n, f in (("avg_volume", "avg(traffic_volume)"), ("n_records", "count(*)"))],
+    ]) + ") select section, key, name, round(value, 4) as value from long",
+    "describe_text": " union all ".join(
+        f"select '{f}' as summary, {f}(p_size)::varchar as p_size, "
+        f"{f}(p_retailprice)::varchar as p_retailprice from part" for f in ("count", "min", "max")),
+    "holiday_null_rule": """
+        with hit as (select distinct o_orderdate::date as day from orders where o_orderkey % 997 = 0)
+        select o_orderkey, case when o_orderdate::date in (select day from hit) then 1 else 0 end
+          as is_holiday from orders""",
+    "hash_split_seeded": """
+        select event_id, case when concat('0x', substr(md5('second' || event_id::varchar), 1, 8))
+          ::bigint % 1000000 < 855000 then 'train' else 'test' end as split from events""",
+    "category_index_wide": """
+        select o_custkey::varchar as value, count(*) as n, (row_number() over (
+          order by count(*) desc, o_custkey::varchar) - 1)::double as "index"
+        from orders group by o_custkey""",
+    "csv_scan": RAW_FILE,
+    "gzip_csv_scan": RAW_FILE,
+    "saved_profile": f"""
+        with {OBS} select weather_main, round(avg(traffic_volume), 4) as avg_volume,
+          count(*) as n_records from obs group by 1""",
+    "saved_class_counts": f"""
+        select {LEVEL_OF_QUANTITY} as congestion, count(*) as count from lineitem group by 1""",
+    "saved_class_metrics": f"""
+        with {BASELINE} select model, level, round(precision, 4) as precision,
+          round(recall, 4) as recall, round(f1, 4) as f1, support from per_class""",
+    "saved_alerts": f"""
+        with {CONTEXTS}, picked as (
+          select c.*, date_time from contexts c join derived d using (event_id)
+          qualify row_number() over (partition by (c.hour // 3), level
+            order by date_time, c.hour, d.day_of_week, c.weather_main) = 1),
+        first as (select * from picked order by strftime(date_time, '%Y-%m-%d %H:%M:%S'),
+          hour // 3, level limit 8)
+        select strftime(date_time, '%Y-%m-%d %H:%M:%S') as datetime, level as predicted_level,
+        """ + ALERT.format(
+        level="level", day="day_name", hour="hour", percent="80", weather="weather_main",
+        detail="weather_description", holiday="holiday") + " as alert from first",
 }

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from rushline.functions import calendar as cal
 from rushline.functions import text
-from rushline.operators.cleaning import distinct_on
+from rushline.operators.cleaning import first_of_strata
 from rushline.operators.profile import TIME_FORMAT
 from rushline.spec import LEVELS, Spec
 
+# The published names and order of a context ------------------
 CONTEXT = (
     "level", "p_low", "p_medium", "p_high", "day_name", "hour",
     "weather_main", "weather_description", "temp_c", "holiday",
@@ -58,10 +59,10 @@ def alert_rows(df: DataFrame, spec: Spec = Spec(), level: str = "congestion",
         spec.time, "hour", "day_of_week", spec.category, spec.detail, "temp_c", spec.holiday,
         level, *(f"p_{name}" for name in LEVELS), *prefer,
     ]
-    strata = distinct_on(
+    strata = first_of_strata(
         df.select(*[c for c in dict.fromkeys(needed) if c in df.columns])
         .withColumn("hour_bucket", cal.hour_bucket(F.col("hour"))),
-        ["hour_bucket", level], prefer,
+        ["hour_bucket", level], tuple(dict.fromkeys([*prefer, spec.time])),
     )
     return (
         strata.withColumn("datetime", F.date_format(spec.time, TIME_FORMAT))

@@ -30,6 +30,25 @@ def distinct_on(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ())
     ])
 
 
+def first_of_strata(
+    df: DataFrame, keys: Sequence[str], prefer: Sequence[str]
+) -> DataFrame:
+    """``distinct_on`` for few groups of many rows, led by a fixed-width column.
+
+    The least lead of each group comes from a hash aggregate that sorts nothing;
+    only rows that hold it go on to the whole-row minimum. A NULL lead is least.
+    """
+    lead, keys = prefer[0], list(keys)
+    least = df.groupBy(*keys).agg(
+        F.min(lead).alias("_least"), F.bool_or(F.col(lead).isNull()).alias("_has_null"))
+    least = least.select(
+        F.struct(*keys).alias("_group"),
+        F.when(~F.col("_has_null"), F.col("_least")).alias("_least"))
+    same = F.struct(*[df[k] for k in keys]).eqNullSafe(F.col("_group")) & df[lead].eqNullSafe(
+        F.col("_least"))
+    return distinct_on(df.join(least, same, "left_semi"), keys, prefer)
+
+
 def drop_faults(df: DataFrame, column: str, above: float) -> DataFrame:
     """Rows whose reading is above the fault threshold; NULL readings go."""
     return df.filter(F.col(column) > above)
@@ -57,11 +76,18 @@ def add_calendar(df: DataFrame, spec: Spec = Spec()) -> DataFrame:
         "month": F.month(time),
         "is_weekend": cal.weekend_flag(F.dayofweek(time)),
         "season": cal.season(F.month(time)),
-        "is_holiday": cal.holiday_flag(F.col(spec.holiday), spec.no_holiday),
+        "is_holiday": cal.holiday_flag(
+            F.col(spec.holiday), spec.no_holiday, spec.null_is_holiday),
         "temp_c": cal.celsius(F.col(spec.temp)),
     })
 
 
+def add_derived(df: DataFrame, spec: Spec = Spec()) -> DataFrame:
+    """The calendar columns under the spec's holiday options."""
+    derived = add_calendar(df, spec)
+    return spread_holidays(derived, spec) if spec.whole_day_holidays else derived
+
+
 def add_level(df: DataFrame, spec: Spec = Spec(), out: str = "congestion") -> DataFrame:
     return df.withColumn(out, cal.level(F.col(spec.measure), spec.low_max, spec.high_min))
 
@@ -69,15 +95,15 @@ def add_level(df: DataFrame, spec: Spec = Spec(), out: str = "congestion") -> Da
 def spread_holidays(df: DataFrame, spec: Spec = Spec(), out: str = "is_holiday") -> DataFrame:
     """Flag every row of a day on which any row is a holiday.
 
-    The right side is one four-byte date per holiday; dates end with the year
-    9999, so it cannot outgrow a broadcast, and the rows stay where they are.
+    The right side is one date per holiday; Spark picks the join by its size.
     """
     day = F.to_date(F.col(spec.time))
-    is_holiday = cal.holiday_flag(F.col(spec.holiday), spec.no_holiday) == 1
+    is_holiday = cal.holiday_flag(
+        F.col(spec.holiday), spec.no_holiday, spec.null_is_holiday) == 1
     days = df.filter(is_holiday).select(day.alias("_day")).distinct()
     return (
         df.drop(out).withColumn("_day", day)
-        .join(F.broadcast(days.withColumn("_hit", F.lit(1))), "_day", "left")
+        .join(days.withColumn("_hit", F.lit(1)), "_day", "left")
         .withColumn(out, F.coalesce("_hit", F.lit(0)))
         .drop("_day", "_hit")
     )

@@ -16,60 +16,51 @@ from rushline.spec import LEVEL_INDEX, FeatureSpec
 def vocabulary_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) for several category columns from one scan; NULLs left out.
 
-    Rows are folded per combination of values in the map tasks first; only
-    those are unfolded into one row per column.
+    Counts fold per column and value in the map tasks, so what is shuffled grows
+    with the sum of the vocabularies, not with their product.
     """
-    folded = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
         for c in columns
     ])
     return (
-        folded.select(F.inline(pairs), "_n").filter(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.sum("_n").alias("n"))
+        df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """Index of each value by falling frequency, ties in value order.
 
-    A table (value, n, index) of the vocabulary; the position is taken from the
-    sorted vocabulary, which ``FeatureSpec.max_categories`` bounds.
+    A table (value, n, index) of any length. The vocabulary is sorted by ranges
+    and numbered where it lies: positions follow from the sizes of the ranges
+    before, so neither the driver nor one task ever holds the values.
     """
-    values = fit_vocabulary(df, [column])[column]
-    order = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(v), F.lit(i))])
-    return vocabulary_counts(df, [column]).select(
-        "value", "n", order[F.col("value")].cast("double").alias("index")
-    )
+    ordered = vocabulary_counts(df, [column]).select("value", "n").orderBy(
+        F.desc("n"), F.asc("value"))
+    numbered = ordered.rdd.zipWithIndex().map(lambda p: (p[0][0], p[0][1], float(p[1])))
+    return df.sparkSession.createDataFrame(numbered, "value string, n bigint, index double")
 
 
-def fit_vocabulary(
-    df: DataFrame, columns: Sequence[str], max_categories: int = FeatureSpec.max_categories
-) -> dict[str, list[str]]:
+def fit_vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Known values per column, by falling frequency, then value.
 
-    The values go to the driver and into the model, so no more than the limit
-    is ever fetched; beyond it the fit fails instead of dropping values.
+    All of them, however many: an indexer model of Spark ML holds its labels, and
+    the vector has a slot for each, so the model is what bounds a category here.
     """
-    limit = max_categories * len(columns)
-    rows = (
-        vocabulary_counts(df, columns)
-        .orderBy(F.desc("n"), F.asc("value")).limit(limit + 1).collect()
-    )
     vocabulary: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
+    if not columns:
+        return vocabulary
+    for row in vocabulary_counts(df, columns).orderBy(F.desc("n"), F.asc("value")).toLocalIterator():
         vocabulary[row["column"]].append(row["value"])
     for column, values in vocabulary.items():
-        if len(rows) > limit or len(values) > max_categories:
-            raise ValueError(f"{column!r} or a sibling has more than {max_categories} values; "
-                             "raise max_categories or group the values first")
         if not values:
             raise ValueError(f"{column!r} has no values to index")
     return vocabulary
 
 
 def feature_stages(spec: FeatureSpec, vocabulary: dict[str, list[str]]) -> list:
-    """Indexers, one encoder and the assembler.
+    """Indexers, one encoder (none without categories) and the assembler.
 
     An unknown or NULL category gets the extra index, which the encoder drops:
     all zeros. The vector width is the scalars plus the known categories. NULL
@@ -81,16 +72,16 @@ def feature_stages(spec: FeatureSpec, vocabulary: dict[str, list[str]]) -> list:
             vocabulary[c], inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
         for c in spec.categories
     ]
-    encoder = OneHotEncoder(
+    encoders = [OneHotEncoder(
         inputCols=[f"{c}_idx" for c in spec.categories],
         outputCols=[f"{c}_vec" for c in spec.categories],
-    )
+    )] if spec.categories else []
     assembler = VectorAssembler(
         inputCols=[*spec.scalars, *(f"{c}_vec" for c in spec.categories)],
         outputCol="features",
         handleInvalid="keep",
     )
-    return [*indexers, encoder, assembler]
+    return [*indexers, *encoders, assembler]
 
 
 def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> PipelineModel:
@@ -99,7 +90,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Pipelin
     One small job for the vocabulary; the encoder takes its sizes from column
     metadata and reads no rows.
     """
-    vocabulary = fit_vocabulary(train, spec.categories, spec.max_categories)
+    vocabulary = fit_vocabulary(train, spec.categories)
     return Pipeline(stages=feature_stages(spec, vocabulary)).fit(train)
 
 

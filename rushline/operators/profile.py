@@ -185,25 +185,45 @@ def table_totals(
     )
 
 
+CALENDAR = ("hour", "dow", "month")
+
+
 def profile_cells(
     df: DataFrame, time: str, measure: str, categories: Sequence[str]
 ) -> DataFrame:
-    """Sums and counts per (hour, weekday, month, categories).
+    """Sums and counts, as (part, calendar columns, categories, total, n_values, n_records).
 
-    Rows fold into cells inside the map tasks, so a busy value costs nothing
-    extra; every average and count by one of the keys follows from the cells.
+    One grouping set for the calendar (at most 24 * 7 * 12 cells) and one for each
+    category, so the cells grow with the sum of the categories, not their product.
+    ``part`` names the set. Rows fold inside the map tasks: a busy value costs
+    nothing extra.
     """
     calendar = {"hour": F.hour(time), "dow": F.dayofweek(time), "month": F.month(time)}
-    return df.groupBy(*[c.alias(n) for n, c in calendar.items()], *categories).agg(
-        F.sum(measure).alias("total"),
-        F.count(measure).alias("n_values"),
+    keyed = df.select(
+        *[c.alias(n) for n, c in calendar.items()], *dict.fromkeys(categories),
+        F.col(measure).alias("_measure"))
+    keys = [*CALENDAR, *dict.fromkeys(categories)]
+    sets = [list(CALENDAR), *[[c] for c in dict.fromkeys(categories)]]
+    # grouping_id reads left to right: the cleared bits mark the grouped columns.
+    ids = {sum(0 if k in s else 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)): s
+           for s in sets}
+    name = F.create_map(*[
+        x for i, s in ids.items()
+        for x in (F.lit(i).cast("bigint"), F.lit("calendar" if len(s) > 1 else s[0]))])
+    return keyed.groupingSets(
+        [[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys],
+    ).agg(
+        name[F.grouping_id()].alias("part"),
+        F.sum("_measure").alias("total"),
+        F.count("_measure").alias("n_values"),
         _records(),
     )
 
 
 def from_cells(cells: DataFrame, key: str) -> DataFrame:
     """avg_volume and n_records by one key of the cells."""
-    return cells.groupBy(key).agg(
+    part = "calendar" if key in CALENDAR else key
+    return cells.filter(F.col("part") == part).groupBy(key).agg(
         F.try_divide(F.sum("total"), F.sum("n_values")).alias("avg_volume"),
         F.sum("n_records").alias("n_records"),
     )
@@ -214,29 +234,17 @@ def profile_suite(
 ) -> DataFrame:
     """Hour, weekday, month and category averages together, from one scan.
 
-    The grouping sets expand the cells, not the rows. Output: (dimension,
-    value, avg_volume, n_records), one block per dimension.
+    Output: (dimension, value, avg_volume, n_records), one block per dimension,
+    unfolded from the cells.
     """
-    dimensions = ["hour", "dow", "month", *categories]
     cells = profile_cells(df, time, measure, categories)
-    # grouping_id reads left to right: the cleared bit marks the grouped column.
-    last = len(dimensions) - 1
-    everything = (1 << len(dimensions)) - 1
-    name = F.create_map(*[
-        x for i, d in enumerate(dimensions)
-        for x in (F.lit(everything - (1 << (last - i))).cast("bigint"), F.lit(d))
-    ])
-    return (
-        cells.groupingSets([[F.col(d)] for d in dimensions], *[F.col(d) for d in dimensions])
-        .agg(
-            name[F.grouping_id()].alias("dimension"),
-            F.try_divide(F.sum("total"), F.sum("n_values")).alias("avg_volume"),
-            F.sum("n_records").alias("n_records"),
-        )
-        .select(
-            "dimension",
-            F.coalesce(*[F.col(d).cast("string") for d in dimensions]).alias("value"),
-            "avg_volume",
-            "n_records",
-        )
-    )
+    own = [F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"))
+           for d in CALENDAR]
+    of_category = F.create_map(*[
+        x for c in dict.fromkeys(categories) for x in (F.lit(c), F.col(c).cast("string"))])
+    blocks = F.when(F.col("part") == "calendar", F.array(*own)).otherwise(F.array(F.struct(
+        F.col("part").alias("dimension"), of_category[F.col("part")].alias("value"))))
+    return cells.select(F.inline(blocks), "total", "n_values", "n_records").groupBy(
+        "dimension", "value").agg(
+        F.try_divide(F.sum("total"), F.sum("n_values")).alias("avg_volume"),
+        F.sum("n_records").alias("n_records"))

@@ -41,7 +41,6 @@ def exact_quantiles(
     column: str,
     probs: Sequence[float] = QUANTILE_PROBS,
     accuracy: int = 10_000,
-    small: int = 10_000,
 ) -> DataFrame:
     """(prob, value) with linear interpolation between neighbouring ranks.
 
@@ -51,8 +50,8 @@ def exact_quantiles(
     return a handful of numbers. A rank that falls on a counted value is found;
     the others go on in the open interval between two of them, about
     2 / accuracy of the rows. A value that fills much of an interval becomes one
-    of its split points, so it never stays inside. At most ``small`` rows are
-    left when the search ends by reading them.
+    of its split points, so it never stays inside. The search ends when every
+    rank has met a counted value; no row is ever fetched.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(
         "v is not null and not isnan(v)")
@@ -64,19 +63,24 @@ def exact_quantiles(
     found: dict[int, float] = {}
     intervals = [_Interval(tuple(ranks), None, None, 0, total)]
     for _ in range(ROUNDS):
-        if sum(i.inside for i in intervals) <= small:
+        if not intervals:
             break
         intervals = _narrow(values, intervals, accuracy, found)
     else:
         raise RuntimeError(f"no answer after {ROUNDS} rounds: {intervals}")
-    if intervals:
-        _read_rest(values, intervals, found)
     return _result(df, {
-        p: found[math.floor(x)] + (found[math.ceil(x)] - found[math.floor(x)]) * (x % 1)
+        p: _between(found[math.floor(x)], found[math.ceil(x)], x % 1)
         for p, x in positions.items()
     })
 
 
+def _between(low: float, high: float, part: float) -> float:
+    """Linear interpolation; equal neighbours, infinite ones too, are the answer."""
+    if low == high or part == 0:
+        return low
+    return low + (high - low) * part
+
+
 def _result(df: DataFrame, quantiles: dict[float, float | None]) -> DataFrame:
     return df.sparkSession.createDataFrame(
         list(quantiles.items()), "prob double, value double")
@@ -119,16 +123,3 @@ def _narrow(values: DataFrame, intervals: list[_Interval], accuracy: int,
         if ranks:
             pieces.append(_Interval(tuple(ranks), low, i.high, below, i.below + i.inside - below))
     return pieces
-
-
-def _read_rest(values: DataFrame, intervals: list[_Interval], found: dict[int, float]) -> None:
-    """Fetch the few values left and pick the wanted ranks."""
-    rest = values.filter(reduce(or_, [i.condition for i in intervals]))
-    rows = sorted((row["v"], row["n"]) for row in rest.groupBy("v").agg(
-        F.count(F.lit(1)).alias("n")).collect())
-    for i in intervals:
-        before = i.below
-        for value, n in rows:
-            if (i.low is None or value > i.low) and (i.high is None or value < i.high):
-                found.update({r: value for r in i.ranks if before <= r < before + n})
-                before += n

@@ -6,6 +6,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
@@ -31,27 +32,27 @@ class Candidate:
     grid: list
 
 
+ESTIMATORS = {
+    "LogisticRegression": LogisticRegression,
+    "DecisionTree": DecisionTreeClassifier,
+    "RandomForest": RandomForestClassifier,
+}
+
+
+def candidate(name: str, settings: ModelSettings = ModelSettings()) -> Candidate:
+    """One classifier with its parameters and its tuning grid, all by name."""
+    estimator = ESTIMATORS[name](**settings.params[name])
+    for shared, value in (("seed", settings.seed), ("maxMemoryInMB", settings.tree_memory_mb)):
+        if estimator.hasParam(shared):
+            estimator.set(estimator.getParam(shared), value)
+    grid = ParamGridBuilder()
+    for param, values in settings.grids[name].items():
+        grid.addGrid(estimator.getParam(param), values)
+    return Candidate(name, estimator, grid.build())
+
+
 def candidates(settings: ModelSettings = ModelSettings()) -> list[Candidate]:
-    """The three classifiers, each with its tuning grid."""
-    s = settings
-    linear = LogisticRegression(
-        maxIter=s.lr_max_iter, regParam=s.lr_reg, elasticNetParam=s.lr_elastic_net)
-    tree = DecisionTreeClassifier(
-        maxDepth=s.dt_depth, maxBins=s.max_bins, seed=s.seed, maxMemoryInMB=s.tree_memory_mb)
-    forest = RandomForestClassifier(
-        numTrees=s.rf_trees, maxDepth=s.rf_depth, maxBins=s.max_bins,
-        subsamplingRate=s.rf_subsampling, featureSubsetStrategy=s.rf_feature_subset,
-        seed=s.seed, maxMemoryInMB=s.tree_memory_mb)
-    return [
-        Candidate("LogisticRegression", linear, ParamGridBuilder()
-                  .addGrid(linear.regParam, [0.0, 0.01, 0.1])
-                  .addGrid(linear.elasticNetParam, [0.0, 0.5]).build()),
-        Candidate("DecisionTree", tree, ParamGridBuilder()
-                  .addGrid(tree.maxDepth, [6, 8, 10, 12]).build()),
-        Candidate("RandomForest", forest, ParamGridBuilder()
-                  .addGrid(forest.numTrees, [60, 100])
-                  .addGrid(forest.maxDepth, [12, 15]).build()),
-    ]
+    return [candidate(name, settings) for name in settings.params]
 
 
 def cross_validate(candidate: Candidate, train: DataFrame, settings: ModelSettings,
@@ -61,8 +62,8 @@ def cross_validate(candidate: Candidate, train: DataFrame, settings: ModelSettin
         estimator=candidate.estimator,
         estimatorParamMaps=candidate.grid,
         evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        numFolds=settings.cv_folds,
-        parallelism=settings.cv_parallelism,
+        numFolds=settings.folds,
+        parallelism=settings.parallel_fits,
         seed=settings.seed,
     )
     if fold:
@@ -85,32 +86,55 @@ def fit_timed(candidate: Candidate, train: DataFrame, settings: ModelSettings,
               fold: str | None = None) -> tuple[Model, float]:
     """The fitted (or best tuned) model and the seconds it took."""
     started = time.monotonic()
-    if settings.use_cv:
+    if settings.tune:
         model = cross_validate(candidate, train, settings, fold).bestModel
     else:
         model = candidate.estimator.fit(train)
     return model, time.monotonic() - started
 
 
-ROWS_PER_TASK = 1_000_000
-MIN_ROWS_PER_TASK = 2_000
+# Small tables are cut into this many values per task, up to the given number of
+# tasks; beyond that, tasks grow to the large size first.
+SMALL_TASK, FEW_TASKS, LARGE_TASK = 20_000, 64, 16_000_000
+
 
+def layout_partitions(n_rows: int, width: int) -> int:
+    """Partitions for rows of so many values: a function of the data alone."""
+    values = n_rows * max(width, 1)
+    return max(1, min(FEW_TASKS, -(-values // SMALL_TASK)), -(-values // LARGE_TASK))
 
-def training_layout(rows: DataFrame, key: str, n_rows: int) -> DataFrame:
+
+def training_layout(
+    rows: DataFrame, key: str, n_rows: int, partitions: int | None = None
+) -> DataFrame:
     """Training rows in balanced, repeatable partitions.
 
-    Split candidates of a tree are sampled per partition, so the same seed
-    gives the same tree only for the same layout. Rows go to partitions by the
-    hash of the whole row, not of the key: a key that many rows share does not
-    fill one partition. The number of partitions follows the rows, down to one
-    task per core for a small table that came in one file.
+    Split candidates of a tree are sampled per partition, and a forest draws its
+    rows per partition, so the same seed gives the same model only for the same
+    layout. The number of partitions follows from the data (or is given), never
+    from the machine. Rows go to partitions by the hash of the whole row, not of
+    the key: a key that many rows share does not fill one partition.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    n = max(-(-n_rows // ROWS_PER_TASK), min(cores, -(-n_rows // MIN_ROWS_PER_TASK)), 1)
+    n = partitions or layout_partitions(n_rows, len(rows.columns))
     rest = [c for c in rows.columns if c != key]
     return rows.repartition(n, F.xxhash64(key, *rest)).sortWithinPartitions(key, *rest)
 
 
+def training_vectors(
+    train: DataFrame, feature_model: PipelineModel, key: str, columns: Sequence[str],
+    settings: ModelSettings = ModelSettings(),
+) -> DataFrame:
+    """The laid-out training vectors, kept on the executors' disks for all fits.
+
+    The caller unpersists them after the last fit; what a lost executor held is
+    laid out again from the stored rows.
+    """
+    laid_out = training_layout(
+        train.select(*dict.fromkeys([key, *columns])), key, train.count(), settings.partitions)
+    return feature_model.transform(laid_out).select("features", "label", "fold").persist(
+        StorageLevel.DISK_ONLY)
+
+
 REPORTED_PARAMS = (
     "maxIter", "regParam", "elasticNetParam", "maxDepth", "maxBins",
     "numTrees", "subsamplingRate", "featureSubsetStrategy",

@@ -39,20 +39,42 @@ def profile_tables(
     }
 
 
-def _in_order(table: DataFrame, *order: Column, limit: int = 1000) -> Column:
-    """A small table as one scalar array of structs in the given order.
-
-    A table longer than ``limit`` is an error, never a shorter array.
-    """
+def _in_order(table: DataFrame, *order: Column) -> Column:
+    """A table of bounded length (calendar or top-n) as one array of structs in order."""
     row = F.struct(*[F.col(c) for c in table.columns])
-    ranked = table.select(F.struct(*order).alias("rank"), row.alias("row")).limit(limit + 1)
-    rows = F.transform(
+    ranked = table.select(F.struct(*order).alias("rank"), row.alias("row"))
+    return ranked.agg(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "row"))), lambda x: x.getField("row"))
-    return ranked.agg(
-        F.when(F.count(F.lit(1)) > limit, F.raise_error(
-            F.lit(f"more than {limit} rows in one document field"))).otherwise(rows)
-        .alias("rows")
-    ).scalar()
+        .alias("rows")).scalar()
+
+
+def profile_rows(totals: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Every table of the profile in long form: (section, key, name, value double).
+
+    The form for reports of any length: one row per figure, as many as there are.
+    """
+    summary = tables["profile_numeric_summary"]
+    statistics = [c for c in summary.columns if c != "summary"]
+    parts = [
+        totals.select(F.lit("totals").alias("section"), F.lit("rows").alias("key"),
+                      F.lit("row_count").alias("name"), F.col("row_count").cast("double").alias("value")),
+        totals.select(F.inline("null_counts")).select(
+            F.lit("null_counts"), "column", F.lit("nulls"), F.col("nulls").cast("double")),
+        summary.select(F.lit("numeric_summary"), "summary", F.inline(F.array(*[
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+            for c in statistics]))),
+    ]
+    for name, table in tables.items():
+        if name == "profile_numeric_summary":
+            continue
+        key, *figures = table.columns
+        parts.append(table.select(F.lit(name), F.col(key).cast("string"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+            for c in figures]))))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    return rows
 
 
 def profile_document(
@@ -82,13 +104,17 @@ def profile_document(
         _in_order(tables["profile_hourly_volume"], F.col("hour")).alias("hourly_volume"),
         _in_order(tables["profile_dow_volume"], F.col("dow")).alias("dow_volume"),
         _in_order(tables["profile_monthly_volume"], F.col("month")).alias("monthly_volume"),
-        _in_order(tables["profile_weather_volume"], *falling("avg_volume", category))
-        .alias("weather_volume"),
+        # One row per category, of any number: a table of its own, named here.
+        F.lit("profile_weather_volume").alias("weather_volume_table"),
     )
 
 
 def write_profile(df: DataFrame, out: str, spec: Spec = Spec()) -> dict[str, DataFrame]:
-    """Write the seven tables and the document; returns all of them by name."""
+    """Write the seven tables, their long form and the document; returns them by name.
+
+    The document is one row: what it holds is bounded by the calendar, the columns
+    and a top-n. The table per category has as many rows as there are categories.
+    """
     totals = write_table(
         pr.table_totals(df, spec.numeric, [spec.measure, spec.temp]),
         join_uri(out, "profile_totals"))
@@ -103,6 +129,7 @@ def write_profile(df: DataFrame, out: str, spec: Spec = Spec()) -> dict[str, Dat
         # top-n bounds, so it keeps its partitions.
         write_csv(table, join_uri(out, name), single_file=name != "profile_weather_volume")
     schema = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    write_table(profile_rows(totals, tables), join_uri(out, "profile_rows"))
     document = profile_document(schema, totals, tables, spec)
     write_json(document, join_uri(out, "profile"), single_file=True)
     written = df.sparkSession.read.schema(document.schema).json(join_uri(out, "profile"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +16,7 @@ from rushline.operators import training as tr
 from rushline.plans.report import write_profile
 from rushline.sinks import RunLog, append_table, write_csv, write_json, write_table
 from rushline.sources import join_uri
-from rushline.spec import FeatureSpec, ModelSettings, Spec
+from rushline.spec import LEVELS, FeatureSpec, ModelSettings, Spec
 
 RESULT_SCHEMA = (
     "position int, model string, train_time_s double, accuracy double, precision double, "
@@ -33,15 +30,15 @@ SAMPLE_COLUMNS = (
 
 def prepare(df: DataFrame, spec: Spec = Spec(), settings: ModelSettings = ModelSettings()) -> DataFrame:
     """Calendar columns, level, label, split and fold; one projection over ``df``."""
-    derived = cl.add_level(cl.add_calendar(df, spec), spec)
+    derived = cl.add_level(cl.add_derived(df, spec), spec)
     labelled = ft.add_label(derived)
-    with_split = sp.add_split(labelled, spec.key, settings.train_percent)
-    return sp.add_fold(with_split, spec.key, settings.cv_folds)
+    with_split = sp.add_split(labelled, spec.key, settings.train_share, settings.split_salt)
+    return sp.add_fold(with_split, spec.key, settings.folds)
 
 
 def processed_sample(df: DataFrame, spec: Spec = Spec(), n: int = 4000) -> DataFrame:
-    """Twelve columns of ``n`` hash-ordered rows, time as text."""
-    return sp.sample_rows(df, spec.time, n).select(
+    """Twelve columns of ``n`` rows in hash order of the key, time as text."""
+    return sp.sample_rows(df, spec.key, n).select(
         F.col(spec.time).cast("string").alias(spec.time),
         *SAMPLE_COLUMNS, spec.category, "season", "is_holiday", spec.measure, "congestion",
     )
@@ -69,11 +66,13 @@ def run(
     experiment: str = "congestion",
     n_alerts: int = 8,
     alerts_from: str = "prediction",
+    with_charts: bool = True,
 ) -> DataFrame:
     """Write every artifact of a run under ``out``; returns the one-row summary.
 
     Alerts describe the best model's predictions; with ``alerts_from="level"``
-    they describe the observed levels with constant shares.
+    they describe the observed levels with constant shares. ``with_charts=False``
+    leaves the chart tables out.
 
     The cleaned, labelled table is written once, partitioned by split, and
     everything after it reads those files: the dedupe shuffle runs once, scans
@@ -101,7 +100,7 @@ def run(
     write_csv(processed_sample(table, spec), at("processed_sample"), single_file=True)
 
     test = table.filter(F.col("split") == "test")
-    trained, vectors = train_all(table, test, out, spec, features, settings, log)
+    scores, weights = train_all(table, test, out, spec, features, settings, log)
     results = read_results(spark, out)
     matrices = result_matrices(results)
     write_csv(
@@ -113,11 +112,25 @@ def run(
         at("results", "per_class_metrics"), single_file=True)
 
     best = ev.best_and_worst(results, order="position").first()["best"]
-    records = alert_sample(
-        test, trained[best], spec, features, n_alerts, alerts_from == "prediction")
+    predicted = alerts_from == "prediction"
+    records = alert_sample(scores[best] if predicted else test, spec, n_alerts, predicted)
     write_json(records.orderBy("datetime"), at("results", "sample_alerts"), single_file=True)
     written = spark.read.schema(records.schema).json(at("results", "sample_alerts"))
 
+    if with_charts:
+        write_charts(table, profile, counts, results, matrices, weights, out, spec)
+
+    log.finish()
+    summary = run_summary(load, table, results, written, best, settings, log)
+    write_json(summary, at("results", "run_summary"), single_file=True)
+    return spark.read.schema(summary.schema).json(at("results", "run_summary"))
+
+
+def write_charts(
+    table: DataFrame, profile: dict[str, DataFrame], counts: DataFrame, results: DataFrame,
+    matrices: DataFrame, weights: DataFrame, out: str, spec: Spec,
+) -> None:
+    """The nine chart tables."""
     bars = {
         "hourly": profile["profile_hourly_volume"].select("hour", "avg_volume").orderBy("hour"),
         "dow": charts.weekday_bars(profile["profile_dow_volume"]),
@@ -128,51 +141,51 @@ def run(
             table, spec.measure, low_max=spec.low_max, high_min=spec.high_min),
         "model_comparison": ev.metrics_long(results.select("model", *ev.METRICS)),
         "confusion": ev.named_confusion(matrices, by=["model"]),
-        "feature_importance": charts.importance_bars(
-            tr.importances(trained["RandomForest"].stages[-1], vectors, features)),
+        "feature_importance": charts.importance_bars(weights),
     }
     for name, chart in bars.items():
-        write_csv(chart, at("charts", name))
-
-    log.finish()
-    summary = run_summary(load, table, results, written, best, settings, log)
-    write_json(summary, at("results", "run_summary"), single_file=True)
-    return spark.read.schema(summary.schema).json(at("results", "run_summary"))
+        write_csv(chart, join_uri(out, "charts", name))
 
 
 def train_all(
     table: DataFrame, test: DataFrame, out: str, spec: Spec, features: FeatureSpec,
     settings: ModelSettings, log: RunLog,
-) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit, save and evaluate every candidate; returns the models and the training vectors.
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Fit, save, score and evaluate every candidate.
 
-    A model's row is appended to the results as soon as it is evaluated, so a
-    broken run keeps the models it had finished.
+    Returns the scored test rows of each model and the forest's importances. The
+    test rows are scored once per model, into a table that metrics and alerts
+    read. A model's row is appended to the results as soon as it is evaluated, so
+    a broken run keeps the models it had finished.
     """
     spark = table.sparkSession
     train = ft.complete_rows(table.filter(F.col("split") == "train"), features)
     feature_model = ft.fit_features(train, features)
-    # Every fit and every iteration reads the training vectors: laid out and
-    # written once, like the observations.
-    columns = dict.fromkeys([spec.key, *features.inputs, "label", "fold"])
-    laid_out = tr.training_layout(train.select(*columns), spec.key, train.count())
-    vectors = write_table(
-        feature_model.transform(laid_out).select("features", "label", "fold"),
-        join_uri(out, "vectors"))
+    vectors = tr.training_vectors(
+        train, feature_model, spec.key, [*features.inputs, "label", "fold"], settings)
+    kept = dict.fromkeys([
+        spec.key, spec.time, "hour", "day_of_week", spec.category, spec.detail, "temp_c",
+        spec.holiday, "congestion", "label", "prediction", "predicted_level",
+        *(f"p_{name}" for name in LEVELS)])
 
     uri = join_uri(out, "results", "model_results")
     spark.createDataFrame([], RESULT_SCHEMA).write.mode("overwrite").parquet(uri)
-    trained = {}
+    scores, weights = {}, None
     for position, candidate in enumerate(tr.candidates(settings)):
         fitted, seconds = tr.fit_timed(
-            candidate, vectors, settings, "fold" if settings.use_cv else None)
+            candidate, vectors, settings, "fold" if settings.tune else None)
         model = tr.full_model(feature_model, fitted)
         tr.save_model(model, join_uri(out, "models", candidate.name.lower()))
-        scored = tr.score(test, model, features.scalars)
+        scored = write_table(
+            tr.score(test, model, features.scalars).select(*kept),
+            join_uri(out, "scores", candidate.name.lower()))
         append_table(tr.result_row(position, candidate.name, seconds, fitted, scored), uri)
         log.record_results(read_results(spark, out).filter(F.col("position") == position))
-        trained[candidate.name] = model
-    return trained, vectors
+        scores[candidate.name] = scored
+        if candidate.name == "RandomForest":
+            weights = tr.importances(fitted, vectors, features)
+    vectors.unpersist()
+    return scores, weights
 
 
 def read_results(spark: SparkSession, out: str) -> DataFrame:
@@ -180,15 +193,14 @@ def read_results(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).parquet(join_uri(out, "results", "model_results"))
 
 
-def alert_sample(test: DataFrame, model: PipelineModel, spec: Spec, features: FeatureSpec,
-                 n: int, predicted: bool) -> DataFrame:
-    """Alert records of one row per stratum of the test rows."""
+def alert_sample(rows: DataFrame, spec: Spec, n: int, predicted: bool) -> DataFrame:
+    """Alert records of one row per stratum of scored rows, or of observed ones."""
     if predicted:
         level = "predicted_level"
-        rows = tr.score(test, model, features.scalars).filter(F.col(level).isNotNull())
+        rows = rows.filter(F.col(level).isNotNull())
     else:
         level = "congestion"
-        rows = al.constant_shares(test, level)
+        rows = al.constant_shares(rows, level)
     return al.alert_records(al.contexts(al.alert_rows(rows, spec, level, n), spec, level))
 
 
@@ -225,8 +237,8 @@ def run_summary(load: DataFrame, table: DataFrame, results: DataFrame, alerts: D
         alerts.agg(F.count(F.lit(1))).scalar().alias("n_sample_alerts"),
         F.lit(log.run_id).alias("run_id"),
         F.lit(log.uri).alias("run_log"),
-        F.lit(settings.use_cv).alias("cross_validation"),
+        F.lit(settings.tune).alias("cross_validation"),
         F.to_json(F.create_map(*[
-            F.lit(str(x)) for pair in asdict(settings).items() for x in pair
+            F.lit(str(x)) for pair in vars(settings).items() for x in pair
         ])).alias("settings"),
     )

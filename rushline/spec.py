@@ -6,7 +6,9 @@ category, ...), so one operator serves any timestamped measurement table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
+from types import MappingProxyType
 
 # Fixed values -------------------------------------------------------------
 LEVELS = ("low", "medium", "high")          # order of the bucket rule
@@ -31,6 +33,8 @@ class Spec:
     high_min: float = 3500     # measure >= high_min -> high
     min_temp: float = 200      # rows at or below are sensor faults
     no_holiday: str = "None"
+    null_is_holiday: bool = True
+    whole_day_holidays: bool = False   # a holiday row marks every row of its day
     split_key: str | None = None   # column hashed for the split; time if None
 
     @property
@@ -47,31 +51,48 @@ class FeatureSpec:
         "temp_c", "rain_1h", "snow_1h", "clouds_all",
     )
     categories: tuple[str, ...] = ("weather_main", "season")
-    # The vocabulary of a category lives on the driver and in every saved
-    # model, so its size is checked before it is collected.
-    max_categories: int = 1000
 
     @property
     def inputs(self) -> tuple[str, ...]:
         return self.scalars + self.categories
 
 
+# Hyper-parameters of the published fits, and the tuning grids,
+# by Spark ML's class and parameter names.
+PARAMS: Mapping[str, Mapping[str, object]] = MappingProxyType({
+    "LogisticRegression": {"maxIter": 100, "regParam": 0.0, "elasticNetParam": 0.0},
+    "DecisionTree": {"maxDepth": 7, "maxBins": 64},
+    "RandomForest": {
+        "numTrees": 50, "maxDepth": 15, "maxBins": 64, "subsamplingRate": 0.9,
+        "featureSubsetStrategy": "log2"},
+})
+GRIDS: Mapping[str, Mapping[str, list]] = MappingProxyType({
+    "LogisticRegression": {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
+    "DecisionTree": {"maxDepth": [6, 8, 10, 12]},
+    "RandomForest": {"numTrees": [60, 100], "maxDepth": [12, 15]},
+})
+
+
 @dataclass(frozen=True)
 class ModelSettings:
-    seed: int = 42
-    train_percent: int = 80
-    lr_max_iter: int = 100
-    lr_reg: float = 0.0
-    lr_elastic_net: float = 0.0
-    dt_depth: int = 7
-    rf_trees: int = 50
-    rf_depth: int = 15
-    rf_subsampling: float = 0.9
-    rf_feature_subset: str = "log2"
-    max_bins: int = 64
-    cv_folds: int = 3
-    cv_parallelism: int = 2
-    use_cv: bool = False
-    # Memory for one round of split statistics; more means fewer passes over
-    # the training rows for deep forests.
+    """How rows are split, and what each classifier is fitted and tuned with."""
+
+    params: Mapping[str, Mapping[str, object]] = field(default_factory=lambda: dict(PARAMS))
+    grids: Mapping[str, Mapping[str, list]] = field(default_factory=lambda: dict(GRIDS))
+    tune: bool = False
+    folds: int = 3
+    parallel_fits: int = 2
+    train_share: float = 0.8
+    split_salt: str = ""       # another text draws another split
+    seed: int = 42             # of the estimators
+    # Memory for one round of split statistics of a tree; more means fewer
+    # passes over the training rows for deep forests.
     tree_memory_mb: int = 1024
+    # Partitions the training rows are laid out in; None follows their size.
+    partitions: int | None = None
+
+    def fitted_with(self, model: str, **params) -> ModelSettings:
+        return replace(self, params={**self.params, model: {**self.params[model], **params}})
+
+    def tuned_over(self, model: str, **grid) -> ModelSettings:
+        return replace(self, tune=True, grids={**self.grids, model: grid})

@@ -58,12 +58,18 @@ def test_exact_quantiles_match_brute_force(spark, shape):
     df = spark.range(6_001).select(value.alias("v"))
     probs = (0.0, 0.1, 1 / 3, 0.5, 0.5003, 0.75, 0.999, 1.0)
     found = {r["prob"]: r["value"]
-             for r in qu.exact_quantiles(df, "v", probs, accuracy=50, small=5).collect()}
+             for r in qu.exact_quantiles(df, "v", probs, accuracy=50).collect()}
     values = [r[0] for r in df.collect()]
     for p in probs:
         assert found[p] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
+def test_exact_quantiles_of_infinite_values(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
+    found = {r["prob"]: r["value"] for r in qu.exact_quantiles(df, "v", [0.0, 0.5, 1.0]).collect()}
+    assert found == {0.0: 1.0, 0.5: 2.0, 1.0: float("inf")}
+
+
 def test_exact_quantiles_skip_nulls(spark):
     df = spark.createDataFrame([(None,), (1.0,), (3.0,)], "v double")
     assert qu.exact_quantiles(df, "v", [0.5]).first()["value"] == 2.0
@@ -119,11 +125,25 @@ def test_written_tables_equal_direct_ones(spark, tmp_path):
         r["weather_main"] for r in direct]
 
 
-def test_document_refuses_too_many_categories(spark, tmp_path):
+def test_wide_category_is_written_whole(spark, tmp_path):
     df = hourly_table(spark, 1_200).withColumn(
         "weather_main", F.concat(F.lit("w"), F.unix_timestamp("date_time")))
-    with pytest.raises(Exception, match="more than 1000 rows"):
-        write_profile(df, str(tmp_path))
+    tables = write_profile(df, str(tmp_path))
+    assert tables["profile_weather_volume"].count() == 1_200
+    document = tables["document"].first()
+    assert len(document["weather_main_distribution"]) == 20
+    assert document["weather_volume_table"] == "profile_weather_volume"
+    rows = spark.read.parquet(str(tmp_path / "profile_rows"))
+    assert rows.filter("section = 'profile_weather_volume' and name = 'n_records'").count() == 1_200
+
+
+def test_cells_grow_with_the_sum_of_the_categories(spark):
+    df = hourly_table(spark, 5_000).withColumns({
+        "weather_main": (F.unix_timestamp("date_time") / 3600 % 1_000).cast("string"),
+        "holiday": F.floor(F.unix_timestamp("date_time") / 18_000 % 1_000).cast("string")})
+    cells = pr.profile_cells(df, "date_time", "traffic_volume", ["weather_main", "holiday"])
+    assert cells.filter("part <> 'calendar'").count() == 2_000
+    assert cells.filter("part = 'calendar'").count() <= 24 * 7 * 12
 
 
 def test_schema_listing(spark):

@@ -48,7 +48,7 @@ def test_fixed_text_equals_python(spark, values):
        p=st.floats(0, 1))
 def test_exact_quantile_is_between_its_neighbours(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    found = qu.exact_quantiles(df, "v", [p], accuracy=10, small=3).first()["value"]
+    found = qu.exact_quantiles(df, "v", [p], accuracy=10).first()["value"]
     ranked = sorted(values)
     place = p * (len(values) - 1)
     low, high = ranked[int(place)], ranked[min(int(place) + 1, len(values) - 1)]

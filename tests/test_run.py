@@ -11,7 +11,8 @@ from rushline.sinks import RunLog, scratch_uri, write_csv, write_json, write_tab
 from rushline.spec import FeatureSpec, ModelSettings, Spec
 from tests.data import hourly_table
 
-SETTINGS = ModelSettings(lr_max_iter=10, rf_trees=4, rf_depth=5)
+SETTINGS = ModelSettings().fitted_with("LogisticRegression", maxIter=10).fitted_with(
+    "RandomForest", numTrees=4, maxDepth=5)
 
 
 def _json(folder):
@@ -68,7 +69,7 @@ def test_alerts(finished):
 def test_alerts_of_observed_levels(spark, finished):
     out, _ = finished
     table = spark.read.parquet(str(out / "out" / "observations")).filter("split = 'test'")
-    rows = alert_sample(table, None, Spec(), FeatureSpec(), 8, predicted=False).collect()
+    rows = alert_sample(table, Spec(), 8, predicted=False).collect()
     assert len(rows) == 8
     for row in rows:
         assert row["context"][f"p_{row['predicted_level']}"] == 0.8
@@ -86,6 +87,29 @@ def test_charts(finished):
     assert rows["temp_vs_volume"] > 10
 
 
+def test_run_with_its_options(spark, tmp_path):
+    """Tuned fits, another split, whole-day holidays, a wide category, no charts."""
+    raw = hourly_table(spark, 1_500).withColumns({
+        "weather_description": F.concat(F.lit("w"), F.unix_timestamp("date_time")),
+        "holiday": F.when(F.date_format("date_time", "MM-dd HH") == "11-22 00", "Thanksgiving Day")
+        .when(F.hour("date_time") > 3, "None")})
+    settings = ModelSettings(
+        tune=True, split_salt="again", train_share=0.705, partitions=3,
+        grids={"LogisticRegression": {"regParam": [0.0, 0.1]}, "DecisionTree": {"maxDepth": [2, 5]},
+               "RandomForest": {"numTrees": [2, 3]}})
+    spec = Spec(category="weather_description", null_is_holiday=False, whole_day_holidays=True)
+    features = FeatureSpec(categories=("season",))
+    row = run(spark, raw, str(tmp_path), spec, features, settings, with_charts=False,
+              alerts_from="level").first()
+    assert row["cross_validation"] is True and row["n_sample_alerts"] == 8
+    assert abs(row["train_rows"] / 1_500 - 0.705) < 0.04
+    assert not (tmp_path / "charts").exists()
+    holidays = spark.read.parquet(str(tmp_path / "observations")).filter("is_holiday = 1")
+    assert holidays.count() == 24
+    assert spark.read.option("header", True).csv(
+        str(tmp_path / "results" / "profile_weather_volume")).count() == 1_500
+
+
 def test_run_log(spark, finished):
     out, row = finished
     logged = RunLog.runs(spark, str(out / "log")).first()

@@ -10,11 +10,12 @@ from rushline.operators import features as ft
 from rushline.operators import split as sp
 from rushline.operators import training as tr
 from rushline.plans.run import prepare
-from rushline.sinks import scratch_uri
+from rushline.sinks import scratch_uri, write_table
 from rushline.spec import FeatureSpec, ModelSettings
 from tests.data import hourly_table
 
-SETTINGS = ModelSettings(lr_max_iter=20, rf_trees=8, rf_depth=8)
+SETTINGS = ModelSettings().fitted_with("LogisticRegression", maxIter=20).fitted_with(
+    "RandomForest", numTrees=8, maxDepth=8)
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def sets(spark, prepared):
 
 
 def _candidate(name):
-    return next(c for c in tr.candidates(SETTINGS) if c.name == name)
+    return tr.candidate(name, SETTINGS)
 
 
 def test_three_candidates_each_with_a_grid(spark):
@@ -70,10 +71,45 @@ def test_index_by_frequency_then_value(spark):
     assert rows == {"a": 0.0, "b": 1.0, "c": 2.0}
 
 
-def test_vocabulary_size_is_checked(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError, match="more than 10 values"):
-        ft.fit_vocabulary(df, ["v"], max_categories=10)
+def test_wide_vocabulary_is_whole(spark):
+    df = spark.range(3_000).select((F.col("id") % 1_500).cast("string").alias("v"), "id")
+    assert len(ft.fit_vocabulary(df, ["v"])["v"]) == 1_500
+    rows = ft.category_index(df, "v").orderBy("index").collect()
+    assert [r["value"] for r in rows] == sorted(str(i) for i in range(1_500))
+    assert [r["index"] for r in rows] == list(map(float, range(1_500)))
+    spec = FeatureSpec(scalars=("id",), categories=("v",))
+    assert ft.fit_features(df, spec).transform(df).first()["features"].size == 1_501
+
+
+def test_features_without_categories(spark, prepared):
+    spec = FeatureSpec(scalars=("hour", "temp_c"), categories=())
+    built = ft.fit_features(prepared, spec).transform(prepared)
+    assert ft.slot_names(built) == ["hour", "temp_c"]
+    fitted, _ = tr.fit_timed(_candidate("DecisionTree"), built, SETTINGS)
+    assert fitted.numFeatures == 2
+
+
+def test_counts_grow_with_the_sum_of_two_wide_columns(spark):
+    df = spark.range(40_000).select(
+        (F.col("id") % 1_000).cast("string").alias("a"),
+        (F.floor(F.col("id") / 40) % 1_000).cast("string").alias("b"))
+    assert ft.vocabulary_counts(df, ["a", "b"]).count() == 2_000
+
+
+def test_another_salt_draws_another_split(prepared):
+    shares = {}
+    for salt, share in (("", 0.8), ("x", 0.8), ("x", 0.855)):
+        rows = sp.add_split(prepared.drop("split"), "date_time", share, salt)
+        train = {r["date_time"] for r in rows.filter("split = 'train'").collect()}
+        assert abs(len(train) / 4_000 - share) < 0.03
+        shares[salt, share] = train
+    assert shares["", 0.8] != shares["x", 0.8]
+
+
+def test_many_folds_are_even(spark):
+    df = sp.add_fold(spark.range(20_000), "id", 130)
+    sizes = [r["count"] for r in df.groupBy("fold").count().collect()]
+    assert len(sizes) == 130 and min(sizes) > 100 and max(sizes) < 220
 
 
 def test_labels_are_alphabetical_and_strict(spark):
@@ -129,7 +165,37 @@ def test_layout_spreads_a_hot_key(spark):
     df = spark.range(80_000).select(F.lit(1).alias("k"), "id")
     sizes = [r["n"] for r in tr.training_layout(df, "k", 80_000).groupBy(
         F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
-    assert len(sizes) == 8 and max(sizes) < 80_000 / 4
+    assert len(sizes) == tr.layout_partitions(80_000, 2) == 8 and max(sizes) < 80_000 / 4
+    assert [tr.layout_partitions(n, 10) for n in (0, 10, 10**6, 10**12)] == [1, 1, 64, 625_000]
+
+
+def test_same_forest_on_another_machine(spark, prepared):
+    """File packing and default parallelism of the session change nothing."""
+    train = ft.complete_rows(prepared.filter("split = 'train'"))
+    trees = []
+    for size, parallelism in (("64k", "2"), ("128m", "16")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", parallelism)
+        stored = write_table(train, scratch_uri(spark, "train"))
+        vectors = tr.training_vectors(
+            stored.repartition(int(parallelism)), ft.fit_features(stored), "date_time",
+            [*FeatureSpec().inputs, "label", "fold"], SETTINGS)
+        trees.append(_candidate("RandomForest").estimator.fit(vectors).toDebugString.split("\n")[1:])
+        vectors.unpersist()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert trees[0] == trees[1] and len(trees[0]) > 100
+
+
+def test_every_grid_runs(sets, spark):
+    vectors, _, _ = sets
+    for name, grid in (("LogisticRegression", {"regParam": [0.0, 0.5], "elasticNetParam": [0.0, 0.5]}),
+                       ("RandomForest", {"numTrees": [2, 4], "maxDepth": [2, 5]})):
+        settings = SETTINGS.tuned_over(name, **grid)
+        rows = tr.cv_scores(spark, tr.cross_validate(
+            tr.candidate(name, settings), vectors, settings, "fold")).collect()
+        assert len(rows) == 4 and sum(r["is_best"] for r in rows) == 1
+        assert all(set(r["params"]) == set(grid) for r in rows)
 
 
 def test_importances_by_slot_and_by_source(sets, prepared):
@@ -172,6 +238,6 @@ def test_cross_validation_keeps_the_best_depth(sets, spark):
     rows = tr.cv_scores(spark, fitted).orderBy("position").collect()
     assert [r["is_best"] for r in rows] == [False, True]
     assert rows[1]["params"] == {"maxDepth": "6"} and rows[1]["f1"] > rows[0]["f1"]
-    tuned = dataclasses.replace(SETTINGS, use_cv=True)
+    tuned = dataclasses.replace(SETTINGS, tune=True)
     model, _ = tr.fit_timed(shallow, vectors, tuned, "fold")
     assert model.getOrDefault("maxDepth") == 6
