@@ -40,7 +40,7 @@ from rushline.spec import (  # noqa: E402
 
 try:  # the training-data operators are optional: their folder may be absent
     from rushline.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as absent:
+except ImportError as absent:
     if absent.name not in ("rushline.llm", "corpus_pipeline"):
         raise
     llm = None
