@@ -85,14 +85,20 @@ def running_starts(lengths: Column, block: int = 128) -> Column:
 
 
 _SHIPPED: set[str] = set()
+#: Most rows of an Arrow batch: texts may be long, and a batch is held whole.
+BATCH_ROWS = 2000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, once per application.
+    """Send this package's sources to the executors, once per application, and keep
+    Arrow batches small.
 
     Python workers import the operators by name; a cluster's machines need no
     installed copy. Spark serves the archive, also to executors that come later.
     """
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     application = spark.sparkContext.applicationId
     if application in _SHIPPED:
         return

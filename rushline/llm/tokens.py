@@ -26,7 +26,7 @@ from rushline.llm.common import ship_package
 #: Bounds of the first tier: batches looked at, keys kept of each, key length.
 SAMPLE_BATCHES, KEYS_PER_BATCH, LONGEST_KEY = 5, 4096, 48
 #: Entries of a worker's cache; it starts anew when full.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 #: The model writes a space as this sign, and reads the sign as a space.
 SPACE_SIGN = "▁"
 PRE_TOKEN = re.compile(r"\n| +[^ \n]*|[^ \n]+")

@@ -28,7 +28,7 @@ from rushline.llm.common import ship_package, stored
 
 #: Lengths, in bytes, of the beginnings of words that are features.
 PREFIXES = (4, 5, 6, 7, 8)
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 #: Words of lower-cased UTF-8 text.
 WORD_BYTES = re.compile(rb"[0-9a-z\x80-\xff]+")
 FOLDS = 4
