@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rushline.llm.common import SPACES, stored, words_of
+from rushline.llm.common import SPACES, fresh, stored, words_of
 
 HASHES = ("hash1", "hash2")
 KEYS = ("key1", "key2")
@@ -47,10 +47,13 @@ def line_rows(docs: DataFrame, site: Column) -> DataFrame:
     """(keys, site, line_no, hashes, words, doc_words): lines with a word, each once
     for rows that are equal and stand on the same site."""
     trimmed = F.btrim(F.col("line"), F.lit(SPACES))
-    return docs.select(
+    # What is said of a row is computed before its lines are unfolded, once.
+    rows = docs.select(
         *row_keys(), site.cast("string").alias("site"),
         F.size(words_of(F.col("text"))).alias("doc_words"),
-        F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
+        F.split("text", "\n", -1).alias("lines"))
+    return rows.select(
+        *KEYS, "site", "doc_words", F.posexplode("lines").alias("line_no", "line"),
     ).select(*KEYS, "site", "doc_words", "line_no", trimmed.alias("line")).where(
         F.col("line") != "").select(
         *KEYS, "site", "doc_words", "line_no", F.xxhash64("line").alias("hash1"),
@@ -93,17 +96,18 @@ def clean(docs: DataFrame, site: Column, rule: Spread = Spread(), into: str = "l
     """All columns, the text without boilerplate, and the struct ``into``: n_lines
     (lines with a word), n_flagged and n_removed."""
     lines = stored(line_rows(docs, site), "lines")
-    gone = removals(lines, boilerplate(lines, rule), rule).select(
-        F.struct(*KEYS).alias("removal_of"), F.struct("flagged", "removed").alias("removal"))
-    joined = docs.join(gone, F.struct(*row_keys()) == F.col("removal_of"), "left")
+    found = fresh(docs, "removal")
+    gone = removals(lines, boilerplate(lines, rule), rule).select(F.struct(
+        F.struct(*KEYS).alias("of"), "flagged", "removed").alias(found))
+    joined = docs.join(gone, F.struct(*row_keys()) == F.col(f"{found}.of"), "left")
     parts = F.split("text", "\n", -1)
-    removed = F.col("removal.removed")
+    removed = F.col(f"{found}.removed")
     kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(removed, i)), "\n")
     some = F.size(removed) > 0
     n_lines = F.size(F.filter(parts, lambda x: F.btrim(x, F.lit(SPACES)) != ""))
     out = joined.withColumn(into, F.struct(
         F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("removal.flagged", F.lit(0).cast("long")).alias("n_flagged"),
+        F.coalesce(f"{found}.flagged", F.lit(0).cast("long")).alias("n_flagged"),
         F.coalesce(F.greatest(F.size(removed), F.lit(0)), F.lit(0)).cast("long")
         .alias("n_removed"),
     )).withColumn("text", F.when(some, kept).otherwise(F.col("text")))
