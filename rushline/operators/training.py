@@ -95,7 +95,7 @@ def fit_timed(candidate: Candidate, train: DataFrame, settings: ModelSettings,
 
 # Small tables are cut into this many values per task, up to the given number of
 # tasks; beyond that, tasks grow to the large size first.
-SMALL_TASK, FEW_TASKS, LARGE_TASK = 20_000, 64, 16_000_000
+SMALL_TASK, FEW_TASKS, LARGE_TASK = 130_000, 64, 16_000_000
 
 
 def layout_partitions(n_rows: int, width: int) -> int:

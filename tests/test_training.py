@@ -162,10 +162,10 @@ def test_same_layout_same_tree(sets, prepared):
 
 
 def test_layout_spreads_a_hot_key(spark):
-    df = spark.range(80_000).select(F.lit(1).alias("k"), "id")
-    sizes = [r["n"] for r in tr.training_layout(df, "k", 80_000).groupBy(
+    df = spark.range(520_000).select(F.lit(1).alias("k"), "id")
+    sizes = [r["n"] for r in tr.training_layout(df, "k", 520_000).groupBy(
         F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
-    assert len(sizes) == tr.layout_partitions(80_000, 2) == 8 and max(sizes) < 80_000 / 4
+    assert len(sizes) == tr.layout_partitions(520_000, 2) == 8 and max(sizes) < 520_000 / 4
     assert [tr.layout_partitions(n, 10) for n in (0, 10, 10**6, 10**12)] == [1, 1, 64, 625_000]
 
 
