@@ -14,6 +14,7 @@ give no rows, or no hits. Only the named columns are read, others pass unread.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -105,11 +106,11 @@ def original_spans(text: str, runs: list[list[int]]) -> list[tuple[int, int]]:
     return spans
 
 
-#: The automaton of a worker, by the number of the broadcast it comes from.
-_WORKER: dict[int, Automaton] = {}
+#: The automaton of a worker, by the name of the scan it belongs to.
+_WORKER: dict[str, Automaton] = {}
 
 
-def _automaton(number: int, items) -> Automaton:
+def _automaton(number: str, items) -> Automaton:
     if number not in _WORKER:
         _WORKER.clear()
         _WORKER[number] = Automaton(items.value)
@@ -121,7 +122,7 @@ def hits_of(docs: DataFrame, items: list[tuple[str, str]], earlier: str | None =
     what the column ``earlier`` holds of other blocks."""
     ship_package(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(items)
-    number = held._jbroadcast.id()
+    number = uuid.uuid4().hex
 
     def framed(rows, texts) -> pd.DataFrame:
         return pd.DataFrame({

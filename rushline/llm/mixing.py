@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rushline.llm.common import stored, text_or_empty, words_of
+from rushline.llm.common import fresh, stored, text_or_empty, words_of
 
 
 @dataclass(frozen=True)
@@ -272,16 +272,16 @@ def with_copies(
 
     A map over the documents: only the table of sources is joined.
     """
-    decided = plan(docs, weights, rule)[1].select(F.struct("*").alias("plan_of_source"))
-    fraction = F.least(F.lit(float(rule.max_rate)), F.exp("plan_of_source.multiplier"))
-    joined = docs.join(decided, F.col("source").cast("string").eqNullSafe(
-        F.col("plan_of_source.source")))
+    name = fresh(docs, "plan_of_source")
+    decided = plan(docs, weights, rule)[1].select(F.struct("*").alias(name))
+    fraction = F.least(F.lit(float(rule.max_rate)), F.exp(f"{name}.multiplier"))
+    joined = docs.join(decided, docs["source"].cast("string").eqNullSafe(F.col(f"{name}.source")))
     own = F.struct(
         document_key().alias("key"), word_count(text_or_empty()).alias("size"),
         F.floor(fraction).cast("long").alias("whole"),
         (fraction - F.floor(fraction)).alias("fraction"))
     prepared = joined.withColumn(into, own)
-    part, of = F.col(into), F.col("plan_of_source")
+    part, of = F.col(into), F.col(name)
     rank = priority(part["key"], part["fraction"])
     takes = ((F.coalesce(rank < of["threshold"], F.lit(False))
               & ~F.array_contains(of["cut"], part["key"]))
@@ -289,4 +289,4 @@ def with_copies(
     return prepared.withColumn(into, F.struct(
         part["size"].alias("size"), of["tokens"].alias("source_size"),
         of["target"].alias("target"), (part["whole"] + takes.cast("long")).alias("copies"),
-    )).drop("plan_of_source")
+    )).drop(name)

@@ -14,7 +14,8 @@ from tests.llm.test_texts import plain_lines
 def docs(spark, sf_dir):
     """Documents with columns whose names the operators use themselves."""
     return table(spark, sf_dir, "documents").withColumns({
-        c: F.lit("clash") for c in ("score", "lines", "found", "mix", "copies", "row", "key", "n")})
+        c: F.lit("clash") for c in ("score", "lines", "found", "mix", "copies", "row", "key", "n", "kept", "removal",
+                  "plan_of_source", "target", "component")})
 
 
 def rows_of(df):
