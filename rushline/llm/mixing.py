@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 from rushline.llm.common import fresh, stored, text_or_empty, words_of
 
 
+#: Most sources that are broadcast, some hundred bytes each.
+MOST_BROADCAST_SOURCES = 50_000
+
+
 @dataclass(frozen=True)
 class Balance:
     max_rate: int = 3
@@ -221,6 +225,14 @@ def extra_copies() -> Column:
     return takes.cast("long")
 
 
+def small_side(table: DataFrame) -> DataFrame:
+    """A table with a row per source: stored, and broadcast up to a checked number
+    of rows, so that texts are not shuffled by source; beyond it Spark joins as it
+    sees fit and splits a hot source."""
+    table = stored(table, "mix_small")
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST_SOURCES else table
+
+
 def document_key() -> Column:
     """Equal for equal rows: the id and the whole text."""
     return F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
@@ -270,10 +282,10 @@ def with_copies(
 ) -> DataFrame:
     """All columns of ``docs`` and the struct ``into``: size, source_size, target, copies.
 
-    A map over the documents: only the table of sources is joined.
+    A map over the documents while the sources are few enough to broadcast.
     """
     name = fresh(docs, "plan_of_source")
-    decided = plan(docs, weights, rule)[1].select(F.struct("*").alias(name))
+    decided = small_side(plan(docs, weights, rule)[1].select(F.struct("*").alias(name)))
     fraction = F.least(F.lit(float(rule.max_rate)), F.exp(f"{name}.multiplier"))
     joined = docs.join(decided, docs["source"].cast("string").eqNullSafe(F.col(f"{name}.source")))
     own = F.struct(
