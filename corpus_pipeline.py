@@ -28,8 +28,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sources go; every document stays."""
-    cleaned = lines.clean(docs, F.col("source"), into=fresh(docs, "lines"))
+    """Lines that stand on many sources go; every document stays. Copies of a text
+    that is mostly such lines are left to the next stage."""
+    cleaned = lines.clean(
+        docs, F.col("source"), lines.Spread(only_copies=True), into=fresh(docs, "lines"))
     return cleaned.select(*docs.columns)
 
 

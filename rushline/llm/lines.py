@@ -3,8 +3,9 @@
 A HyperLogLog sketch per line hash estimates on how many sites a line stands;
 sketches merge by aggregation. Lines whose estimate is near the threshold are
 counted exactly. Lines on enough sites are boilerplate and are removed, but for
-rows that consist mostly of such lines: those are copies of a whole text, which
-the near-duplicate operator keeps one of.
+rows that consist mostly of such lines. With ``only_copies`` those stay whole only
+where they are copies of a whole text by the classes of the near-duplicate
+operator, which keeps one of them; all others lose their lines too.
 
 Defined results: lines are the parts between line feeds, compared without white
 space at their ends; lines without a word are kept and never counted. A NULL text
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rushline.llm import jaccard
 from rushline.llm.common import SPACES, fresh, stored, words_of
 
 HASHES = ("hash1", "hash2")
@@ -35,6 +37,8 @@ class Spread:
     band: float = 4.0
     #: Rows with more than this percentage of their words in such lines stay whole.
     most_percent: int = 50
+    #: Of those rows only the copies of a whole text stay whole.
+    only_copies: bool = False
 
 
 def row_keys() -> list[Column]:
@@ -79,16 +83,35 @@ def boilerplate(lines: DataFrame, rule: Spread) -> DataFrame:
     return stored(sure.unionByName(exact), "line_boilerplate")
 
 
-def removals(lines: DataFrame, found: DataFrame, rule: Spread) -> DataFrame:
+def copies(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(keys): those of the named rows whose text another of them holds too, equal
+    or linked by the near-duplicate operator."""
+    rows = stored(docs.select(*row_keys(), "doc_id", F.col("text").cast("string").alias("text")).join(
+        keys, list(KEYS), "left_semi"), "line_candidates")
+    placed = stored(jaccard.classes(rows), "line_classes")
+    many = placed.groupBy("component_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    content = placed.join(many, "component_key", "left_semi").select("content").distinct()
+    return rows.select(*KEYS, F.xxhash64("text").alias("content")).join(
+        content, "content", "left_semi").select(*KEYS).distinct()
+
+
+def removals(docs: DataFrame, lines: DataFrame, found: DataFrame, rule: Spread) -> DataFrame:
     """(keys, flagged, removed): line numbers of each row that has such lines."""
     hit = lines.join(found, list(HASHES), "left_semi")
     flagged = hit.groupBy(*KEYS, "doc_words").agg(
         F.collect_set(F.struct("line_no", "words")).alias("hits"))
     words = F.aggregate("hits.words", F.lit(0).cast("long"), lambda a, x: a + x)
-    numbers = F.col("hits.line_no")
-    return flagged.select(
-        *KEYS, F.size("hits").cast("long").alias("flagged"),
-        F.when(100 * words <= rule.most_percent * F.col("doc_words"), numbers)
+    rows = flagged.select(
+        *KEYS, F.col("hits.line_no").alias("numbers"),
+        (100 * words > rule.most_percent * F.col("doc_words")).alias("whole"))
+    if rule.only_copies:
+        rows = stored(rows, "line_hits")
+        copied = copies(docs, rows.where("whole").select(*KEYS)).withColumn("copied", F.lit(True))
+        rows = rows.join(copied, list(KEYS), "left").withColumn(
+            "whole", F.coalesce("copied", F.lit(False)))
+    return rows.select(
+        *KEYS, F.size("numbers").cast("long").alias("flagged"),
+        F.when(~F.col("whole"), F.col("numbers"))
         .otherwise(F.array().cast("array<int>")).alias("removed"))
 
 
@@ -97,7 +120,7 @@ def clean(docs: DataFrame, site: Column, rule: Spread = Spread(), into: str = "l
     (lines with a word), n_flagged and n_removed."""
     lines = stored(line_rows(docs, site), "lines")
     found = fresh(docs, "removal")
-    gone = removals(lines, boilerplate(lines, rule), rule).select(F.struct(
+    gone = removals(docs, lines, boilerplate(lines, rule), rule).select(F.struct(
         F.struct(*KEYS).alias("of"), "flagged", "removed").alias(found))
     joined = docs.join(gone, F.struct(*row_keys()) == F.col(f"{found}.of"), "left")
     parts = F.split("text", "\n", -1)

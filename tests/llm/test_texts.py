@@ -239,6 +239,23 @@ def test_far_above_the_band_needs_no_exact_count(spark):
     assert all(r["lines"]["n_removed"] == 1 for r in got)
 
 
+def test_only_copies_keep_widespread_lines(spark):
+    shared = "one widely shared passage " + " ".join(f"p{k}" for k in range(50))
+    story = [f"story {k} " + " ".join(f"s{k}x{j}" for j in range(30)) for k in range(8)]
+    own = {i: " ".join(f"own{i}x{j}" for j in range(30)) for i in [*range(6), None]}
+    rows = [(i, f"{shared}\n{own[i]}", f"s{i}", "", 1, "") for i in range(6)]
+    # Copies of a whole text on as many sites, one line of each edited.
+    rows += [(100 + i, "\n".join([*story, f"edited {i}"]), f"s{i}", "", 1, "") for i in range(6)]
+    rows += [(200, shared, "s0", "", 1, ""), (None, f"{shared}\n{own[None]}", None, "", 1, "")]
+    rule = lines.Spread(min_sites=4, only_copies=True)
+    got = {r["doc_id"]: (r["text"], r["lines"]["n_removed"]) for r in lines.clean(
+        make(spark, rows), F.col("source"), rule).collect()}
+    for i in range(6):
+        assert got[i] == (own[i], 1)
+        assert got[100 + i] == (rows[6 + i][1], 0)
+    assert got[200] == ("", 1) and got[None] == (own[None], 1)
+
+
 # -- Jaccard join -----------------------------------------------------------------
 
 def near_copies(rng, n_words, groups):
