@@ -15,6 +15,7 @@ Only the named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,13 +30,20 @@ RULE_SCHEMA = "rule_host string, rule_path string, rule_verdict string"
 @dataclass(frozen=True)
 class Propagation:
     damping: float = 0.85
+    #: Steps that the SQL unrolls; the operator does not stop there.
     iterations: int = 12
-    #: Stop when one step moves less than this share of the whole mass.
+    #: Go on until one step moves less than this and reaches no further host.
     tolerance: float = 1e-4
     #: Block where distrust exceeds so many times the trust.
     distrust_ratio: float = 2.0
     default: str = "allow"
 
+    def settled_after(self) -> int:
+        """Steps after which the tolerance holds on any graph: a step moves at most
+        damping times what the one before moved, the first at most twice the damping
+        for each of the two kinds."""
+        return 1 + max(1, math.ceil(math.log(self.tolerance / 4) / math.log(self.damping)))
+
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, lower case."""
@@ -97,10 +105,13 @@ def propagate(edges: DataFrame, seeds: DataFrame, settings: Propagation = Propag
     src summing to 1; ``seeds`` (kind, host, mass) sum to 1 per kind. Both kinds
     run in one job per step. A step sums per target on the map side first; a hub's
     many edges are split by the skew join. The ranks of every step are stored, so
-    plans stay short and a lost executor costs one step.
+    plans stay short and a lost executor costs one step. Every host that links lead
+    to gets its score, however far it is: a step that reaches a new one is not the
+    last. The hosts bound these steps, ``settled_after`` those of the tolerance.
     """
+    taken, reached = 0, -1
     ranks = seeds.select("kind", "host", F.col("mass").alias("score"))
-    for _ in range(settings.iterations):
+    while True:
         moved = edges.join(
             ranks.withColumnRenamed("host", "src"), ["kind", "src"],
         ).select("kind", F.col("dst").alias("host"),
@@ -113,10 +124,15 @@ def propagate(edges: DataFrame, seeds: DataFrame, settings: Propagation = Propag
                              F.col("part").alias("change")).unionByName(previous)
         ranks = stored(step.groupBy("kind", "host").agg(
             F.sum("score").alias("score"), F.sum("change").alias("change")), "url_ranks")
-        delta = ranks.agg(F.sum(F.abs("change"))).first()[0] or 0.0
-        if delta < settings.tolerance:
-            break
-    return ranks.select("kind", "host", "score")
+        before = reached
+        delta, reached = ranks.agg(F.sum(F.abs("change")), F.count(F.lit(1))).first()
+        taken += 1
+        if (delta or 0.0) < settings.tolerance:
+            if reached == before:
+                return ranks.select("kind", "host", "score")
+        elif taken > settings.settled_after():
+            raise RuntimeError(
+                f"ranks still move by {delta} after {taken} steps; do the weights of a host sum to 1?")
 
 
 def host_graph(links: DataFrame) -> DataFrame:

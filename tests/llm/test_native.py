@@ -129,6 +129,24 @@ def test_distrust_blocks_hosts_that_link_to_blocked_ones(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
+def test_propagation_ends_at_the_tolerance_and_reaches_every_host(spark):
+    # Distrust runs 20 links up a chain of farms; production settings.
+    pages = [(0, "http://bad.com/de/1", "")] + [
+        (i, f"http://farm{i}.net/", f"<a href='http://{f'farm{i - 1}.net' if i > 1 else 'bad.com'}/'>x</a>")
+        for i in range(1, 21)]
+    verdicts = {r["page_id"]: r["verdict"] for r in urls.judge(
+        spark.createDataFrame(pages, "page_id long, url string, html string"),
+        urls.rules_table(spark, queries.URL_RULES)).collect()}
+    assert set(verdicts.values()) == {"block"} and len(verdicts) == 21
+    # A chain whose share of the mass lies below the tolerance from its first host on.
+    links = [("sink", "bad", 99_999), ("c1", "bad", 1)] + [(f"c{i + 1}", f"c{i}", 1) for i in range(1, 14)]
+    edges = urls.host_graph(spark.createDataFrame(links, "src string, dst string, n long"))
+    seeds = spark.createDataFrame([("distrust", "bad", 1.0)], "kind string, host string, mass double")
+    got = {r["host"]: r["score"] for r in urls.propagate(edges, seeds).collect()}
+    assert set(got) == {"bad", "sink"} | {f"c{i}" for i in range(1, 15)}
+    assert got["c14"] == pytest.approx(0.15 * 0.85 ** 14 / 100_000)
+
+
 CHAT = "conv_id long, turn long, role string, text string, position string"
 
 
