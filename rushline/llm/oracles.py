@@ -221,6 +221,31 @@ select page_id, p.host, path, rule, coalesce(rule_verdict, case
 from p left join scores on p.host = scores.host"""
 
 
+PHRASES = f"""
+with p as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+w as (select lang, [x for x in string_split_regex(piece, '[\\x20\\x09]+') if x <> ''] as w from p),
+starts as (select lang, w, unnest(generate_series(1, len(w))) as i from w where len(w) > 0),
+grams as (select lang, w[i:i + k - 1] as g from (select *, unnest(generate_series(1, 4)) as k from starts)
+    where i + k - 1 <= len(w)),
+f as (select lang, g, count(*) as f from grams group by lang, g),
+total as (select lang, sum(f)::bigint as n from f where len(g) = 1 group by lang),
+c as (select lang, g, f as a from f where len(g) > 1 and f >= 30),
+cuts as (select c.lang, c.g, a, x.f as l, y.f as r, (2000000::hugeint * a) // (x.f + y.f) as score, k
+    from (select *, unnest(generate_series(1, len(g) - 1)) as k from c) c
+    join f x on x.lang = c.lang and x.g = c.g[1:k] join f y on y.lang = c.lang and y.g = c.g[k + 1:]),
+best as (select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1),
+inner_ as (select lang, g[i:i + k - 1] as g, max(a) as longer from (
+    select *, unnest(generate_series(1, len(g) - k + 1)) as i from (
+      select *, unnest(generate_series(2, len(g) - 1)) as k from c where len(g) > 2)) group by 1, 2),
+kept as (select best.*, array_to_string(best.g, ' ') as phrase from best
+    left join inner_ on inner_.lang = best.lang and inner_.g = best.g
+    where longer is null or 100::hugeint * longer < 80::hugeint * a),
+ranked as (select kept.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select ranked.lang, rank, phrase, a, l, r, n, score::bigint as score, k
+from ranked join total on ranked.lang = total.lang where rank <= 2000"""
+
+
 # The rules of the bound query.
 URL_RULES = (
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
@@ -235,4 +260,5 @@ ORACLES = {
     "op8_line_dedup": LINES,
     "op9_quality_rules": QUALITY,
     "op10_url_filters": _url_sql(URL_RULES),
+    "op12_phrase_mining": PHRASES,
 }

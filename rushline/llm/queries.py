@@ -11,7 +11,8 @@ import public_tokenizers
 
 import corpus_pipeline
 from rushline.llm import (
-    chat, credentials, decontam, jaccard, lines, mixing, oracles, quality, tokens, toxicity, urls,
+    chat, credentials, decontam, jaccard, lines, mixing, oracles, phrases, quality, tokens,
+    toxicity, urls,
 )
 from rushline.llm.common import table
 
@@ -157,6 +158,14 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+# --------------------------------------------------------------------------
+# 12 Phrase collocation mining
+# --------------------------------------------------------------------------
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 # --------------------------------------------------------------------------
 # The pipeline
 # --------------------------------------------------------------------------
@@ -168,7 +177,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_secret_scans, op2_benchmark_decontamination, op3_token_counts, op4_mixing_sources,
     op5_chat_formatting, op6_toxicity, op7_jaccard_join, op8_line_dedup, op9_quality_rules,
-    op10_url_filters, pipeline,
+    op10_url_filters, op12_phrase_mining, pipeline,
 )
 
 

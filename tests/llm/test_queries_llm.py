@@ -13,7 +13,7 @@ def db(sf_dir):
 
 def test_names():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(oracles.ORACLES) <= names
 
 
