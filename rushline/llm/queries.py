@@ -11,8 +11,8 @@ import public_tokenizers
 
 import corpus_pipeline
 from rushline.llm import (
-    chat, credentials, decontam, jaccard, lines, mixing, oracles, phrases, quality, tokens,
-    toxicity, urls,
+    chat, credentials, decontam, jaccard, lines, mixing, oracles, phrases, quality, repair,
+    tokens, toxicity, urls,
 )
 from rushline.llm.common import table
 
@@ -166,6 +166,15 @@ def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+# --------------------------------------------------------------------------
+# 13 Conversation structure repair
+# --------------------------------------------------------------------------
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.with_faults(repair.damage(table(spark, sf_dir, "conversations")))
+    return repair.digest(repair.sorted_parts(rows))
+
+
 # --------------------------------------------------------------------------
 # The pipeline
 # --------------------------------------------------------------------------
@@ -177,7 +186,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_secret_scans, op2_benchmark_decontamination, op3_token_counts, op4_mixing_sources,
     op5_chat_formatting, op6_toxicity, op7_jaccard_join, op8_line_dedup, op9_quality_rules,
-    op10_url_filters, op12_phrase_mining, pipeline,
+    op10_url_filters, op12_phrase_mining, op13_conversation_repair, pipeline,
 )
 
 
