@@ -245,6 +245,24 @@ ranked as (select kept.*, row_number() over (partition by lang order by score de
 select ranked.lang, rank, phrase, a, l, r, n, score::bigint as score, k
 from ranked join total on ranked.lang = total.lang where rank <= 2000"""
 
+# Bytes as two hexadecimal digits each, so that substr() counts them.
+REPEATED = """
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select r, p, substr(h, 2 * p + 1, 800) as win from (
+    select r, h, unnest(generate_series(0, length(h) // 2 - 400)) as p from d where length(h) >= 800)),
+hit as (select r, p from (select r, p, count(*) over (partition by win) as n from w) where n > 1),
+runs as (select *, sum(fresh) over (partition by r order by p) as run from (
+    select r, p, case when p <= lag(p) over (partition by r order by p) + 400 then 0 else 1 end as fresh
+    from hit)),
+spans as (select r, run, min(p) as a, max(p) + 400 as b from runs group by r, run),
+gaps as (select r, a, b, coalesce(lag(b) over (partition by r order by a), 0) as before from spans),
+cut as (select r, sum(b - a)::bigint as n_removed, count(*) as n_spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head, max(b) as tail
+  from gaps join d using (r) group by r)
+select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) as kept_sha256
+from d left join cut using (r)"""
+
 
 # The rules of the bound query.
 URL_RULES = (
@@ -260,5 +278,6 @@ ORACLES = {
     "op8_line_dedup": LINES,
     "op9_quality_rules": QUALITY,
     "op10_url_filters": _url_sql(URL_RULES),
+    "op11_suffix_dedup": REPEATED,
     "op12_phrase_mining": PHRASES,
 }

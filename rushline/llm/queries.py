@@ -12,7 +12,7 @@ import public_tokenizers
 import corpus_pipeline
 from rushline.llm import (
     chat, credentials, decontam, jaccard, lines, mixing, oracles, phrases, quality, repair,
-    tokens, toxicity, urls,
+    suffixes, tokens, toxicity, urls,
 )
 from rushline.llm.common import table
 
@@ -158,6 +158,17 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+# --------------------------------------------------------------------------
+# 11 Suffix-array dedup
+# --------------------------------------------------------------------------
+
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_strings(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_bytes", suffixes.span_bytes(F.col("spans")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
+
+
 # --------------------------------------------------------------------------
 # 12 Phrase collocation mining
 # --------------------------------------------------------------------------
@@ -186,7 +197,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_secret_scans, op2_benchmark_decontamination, op3_token_counts, op4_mixing_sources,
     op5_chat_formatting, op6_toxicity, op7_jaccard_join, op8_line_dedup, op9_quality_rules,
-    op10_url_filters, op12_phrase_mining, op13_conversation_repair, pipeline,
+    op10_url_filters, op11_suffix_dedup, op12_phrase_mining, op13_conversation_repair,
+    pipeline,
 )
 
 
