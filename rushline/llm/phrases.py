@@ -40,7 +40,7 @@ WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 SLOT_BITS = 25
 SLICES = 64
 #: Bytes of text worked through at once.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 
 _SPACE, _BREAK = 1, 2
 _KINDS = np.zeros(256, np.uint8)
@@ -68,7 +68,7 @@ class Words:
         self.names = names
         self.dictionary = coded.dictionary
         self.word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        piece = np.cumsum(kinds == _BREAK, dtype=np.int64)[starts]
+        piece = np.searchsorted(np.flatnonzero(kinds == _BREAK), starts)
         #: whether the next word stands in the same piece
         self.joined = np.append(piece[1:] == piece[:-1], False) if len(piece) else np.zeros(0, bool)
         stops = np.cumsum([len(t) + 1 for t in texts])
@@ -118,10 +118,11 @@ def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def frequent_slots(docs: DataFrame, at_least: int) -> np.ndarray:
     """One bit a slot: whether the words and pairs of it stand ``at_least`` times together."""
     most = min(at_least, 0xFFFF)
+    kind = np.uint8 if most <= 0xFF else np.uint16
     size = (1 << SLOT_BITS) // SLICES
 
     def count(batches):
-        table = np.zeros(1 << SLOT_BITS, np.uint16)
+        table = np.zeros(1 << SLOT_BITS, kind)
         for chunk in _chunks(batches):
             for slots in (chunk.word_slots(), chunk.pair_slots()[chunk.joined]):
                 slot, n = _counted(slots)
@@ -138,7 +139,7 @@ def frequent_slots(docs: DataFrame, at_least: int) -> np.ndarray:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for i, counts in zip(*batch.to_pydict().values()):
-                part = np.frombuffer(unpack.decompress(counts), np.uint16).astype(np.int64)
+                part = np.frombuffer(unpack.decompress(counts), kind).astype(np.int64)
                 sums[i] = np.minimum(sums.get(i, 0) + part, most)
         for i, total in sums.items():
             yield pa.record_batch({"slice": pa.array([i], pa.int32()),
