@@ -5,11 +5,12 @@ one to three places, padded where its piece ends. A Spark ROLLUP over these
 columns sums the windows of each shorter prefix, so the counts of phrases of
 every length come from one table of windows; no n-gram is unfolded by itself.
 
-A window that cannot matter is padded earlier. A first pass counts words and
-adjacent pairs into a table of fixed size (hashed counters, so a count is never
-too small); a window ends before a pair that stands less than ``at_least``
-times, and a word that stands less often is counted as padding alone. Phrases
-below ``at_least`` never decide a result, so all counts that do are exact.
+A window that cannot matter is padded earlier. Two passes count words and
+adjacent pairs, then triples of such pairs, into tables of fixed size (hashed
+counters, so a count is never too small); a window ends before a pair or triple
+that stands less than ``at_least`` times, and a word that stands less often is
+counted as padding alone. Phrases below ``at_least`` never decide a result, so
+all counts that do are exact.
 Windows are summed within Arrow batches and in Spark's map side before they are
 shuffled: a phrase that fills a third of all text costs one row a task.
 
@@ -23,7 +24,7 @@ read, so their names may be anything.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,9 @@ from pyspark.sql import functions as F
 
 from rushline.llm.common import ship_package, stored
 
-LONGEST = 4
-WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
-#: Hashed counters: 2^25, whatever the size of the corpus; the broadcast table of
-#: those that reach ``at_least`` is a bit each, 4 MB.
+WORDS = ["w1", "w2", "w3", "w4"]
+#: Hashed counters of a pass: 2^25, whatever the size of the corpus; the broadcast
+#: table of those that reach ``at_least`` is a bit each, 4 MB.
 SLOT_BITS = 25
 SLICES = 64
 #: Bytes of text worked through at once.
@@ -85,9 +85,32 @@ class Words:
 
     def pair_slots(self) -> np.ndarray:
         """A slot for each word and the next one; only meant where ``joined``."""
-        following = np.append(self._hash[1:], np.uint64(0))[:len(self._hash)]
         return _slot(self._hash * np.uint64(0xC2B2AE3D27D4EB4F)
-                     + following * np.uint64(0x165667B19E3779F9) + self._seed + np.uint64(1))
+                     + lead(self._hash, 1) * np.uint64(0x165667B19E3779F9)
+                     + self._seed + np.uint64(1))
+
+    def triple_slots(self) -> np.ndarray:
+        """A slot for each word and the next two; only meant where both are joined."""
+        return _slot(self._hash * np.uint64(0xD6E8FEB86659FD93)
+                     + lead(self._hash, 1) * np.uint64(0xA0761D6478BD642F)
+                     + lead(self._hash, 2) * np.uint64(0xE7037ED1A0B428DB)
+                     + self._seed + np.uint64(2))
+
+    def pairs(self, frequent: np.ndarray) -> np.ndarray:
+        """Where a word and the next one are a frequent pair of frequent words."""
+        kept = _has(frequent, self.word_slots())
+        return self.joined & kept & lead(kept, 1) & _has(frequent, self.pair_slots())
+
+
+def lead(column: np.ndarray, places: int) -> np.ndarray:
+    """The column's value ``places`` rows ahead; 0 beyond the end."""
+    ahead = np.zeros_like(column)
+    ahead[:max(len(column) - places, 0)] = column[places:]
+    return ahead
+
+
+def _has(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 > 0
 
 
 def _slot(x: np.ndarray) -> np.ndarray:
@@ -115,8 +138,12 @@ def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(values, return_counts=True)
 
 
-def frequent_slots(docs: DataFrame, at_least: int) -> np.ndarray:
-    """One bit a slot: whether the words and pairs of it stand ``at_least`` times together."""
+def _words_and_pairs(chunk: Words) -> list[np.ndarray]:
+    return [chunk.word_slots(), chunk.pair_slots()[chunk.joined]]
+
+
+def frequent_slots(docs: DataFrame, at_least: int, slots_of: Callable) -> np.ndarray:
+    """One bit a slot: whether what falls into it stands ``at_least`` times together."""
     most = min(at_least, 0xFFFF)
     kind = np.uint8 if most <= 0xFF else np.uint16
     size = (1 << SLOT_BITS) // SLICES
@@ -124,7 +151,7 @@ def frequent_slots(docs: DataFrame, at_least: int) -> np.ndarray:
     def count(batches):
         table = np.zeros(1 << SLOT_BITS, kind)
         for chunk in _chunks(batches):
-            for slots in (chunk.word_slots(), chunk.pair_slots()[chunk.joined]):
+            for slots in slots_of(chunk):
                 slot, n = _counted(slots)
                 table[slot] = np.minimum(table[slot] + n, most)
         pack = zstandard.ZstdCompressor(level=1)
@@ -153,22 +180,14 @@ def frequent_slots(docs: DataFrame, at_least: int) -> np.ndarray:
     return bits.ravel()
 
 
-def _windows_of(chunk: Words, bits: np.ndarray) -> pa.RecordBatch:
+def _windows_of(chunk: Words, frequent: np.ndarray, triples: np.ndarray) -> pa.RecordBatch:
     """The padded windows of a chunk, each distinct one once with its number."""
-    def frequent(slots):
-        return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 > 0
-
-    n, v = len(chunk.word), max(len(chunk.dictionary), 1)
-    kept = frequent(chunk.word_slots())
-    follows = chunk.joined & frequent(chunk.pair_slots())
-    follows &= kept & np.append(kept[1:], False)[:n]
-    # columns: the word itself, then each leading word while the chain of pairs holds
-    columns = [np.where(kept, chunk.word, v)]
-    holds = follows.copy()
-    for lead in range(1, LONGEST):
-        shifted = np.append(chunk.word[lead:], np.zeros(min(lead, n), np.int64))
-        columns.append(np.where(holds, shifted, v))
-        holds = holds & np.append(follows[lead:], np.zeros(min(lead, n), bool))
+    v = max(len(chunk.dictionary), 1)
+    pair = chunk.pairs(frequent)
+    triple = pair & lead(pair, 1) & _has(triples, chunk.triple_slots())
+    # the word itself, then its leading words while the phrase up to them may be frequent
+    holds = [_has(frequent, chunk.word_slots()), pair, triple, triple & lead(triple, 1)]
+    columns = [np.where(h, lead(chunk.word, i), v) for i, h in enumerate(holds)]
     # exact keys: fold in one column at a time, numbering what has been seen
     key = chunk.lang
     for column in columns:
@@ -184,12 +203,18 @@ def _windows_of(chunk: Words, bits: np.ndarray) -> pa.RecordBatch:
 def windows(docs: DataFrame, at_least: int) -> DataFrame:
     """Counts of padded windows (lang, w1 .. w4, n); "" is padding."""
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(frequent_slots(docs, at_least))
+    frequent = spark.sparkContext.broadcast(frequent_slots(docs, at_least, _words_and_pairs))
+
+    def triples_of(chunk):
+        pair = chunk.pairs(frequent.value)
+        return [chunk.triple_slots()[pair & lead(pair, 1)]]
+
+    triples = spark.sparkContext.broadcast(frequent_slots(docs, at_least, triples_of))
 
     def count(batches):
         for chunk in _chunks(batches):
             if len(chunk.word):
-                yield _windows_of(chunk, bits.value)
+                yield _windows_of(chunk, frequent.value, triples.value)
 
     found = docs.mapInArrow(count, ", ".join(f"{c} string" for c in ["lang", *WORDS]) + ", n long")
     return found.groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
