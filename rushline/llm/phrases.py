@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -194,14 +195,19 @@ def _windows_of(chunk: Words, frequent: np.ndarray, triples: np.ndarray) -> pa.R
         _, key = np.unique(key * (v + 1) + column, return_inverse=True)
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
     lookup = pa.concat_arrays([chunk.dictionary, pa.array([b""], pa.large_binary())])
-    arrays = [pa.array(chunk.names, pa.string()).take(pa.array(chunk.lang[first]))]
-    arrays += [lookup.take(pa.array(c[first])).cast(pa.large_string()).cast(pa.string())
-               for c in columns]
-    return pa.record_batch([*arrays, pa.array(counts, pa.int64())], ["lang", *WORDS, "n"])
+    words = [lookup.take(pa.array(c[first])) for c in columns]
+    window = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
+    langs = pa.array(chunk.names, pa.string()).take(pa.array(chunk.lang[first]))
+    return pa.record_batch(
+        [langs, window.cast(pa.large_string()).cast(pa.string()), pa.array(counts, pa.int64())],
+        ["lang", "window", "n"])
 
 
 def windows(docs: DataFrame, at_least: int) -> DataFrame:
-    """Counts of padded windows (lang, w1 .. w4, n); "" is padding."""
+    """Counts of padded windows (lang, w1 .. w4, n); "" is padding.
+
+    The four words travel as one text, the padding as its empty parts.
+    """
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_slots(docs, at_least, _words_and_pairs))
 
@@ -216,8 +222,10 @@ def windows(docs: DataFrame, at_least: int) -> DataFrame:
             if len(chunk.word):
                 yield _windows_of(chunk, frequent.value, triples.value)
 
-    found = docs.mapInArrow(count, ", ".join(f"{c} string" for c in ["lang", *WORDS]) + ", n long")
-    return found.groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(count, "lang string, window string, n long").groupBy(
+        "lang", "window").agg(F.sum("n").alias("n"))
+    parts = F.split("window", " ")
+    return found.select("lang", *[F.get(parts, F.lit(i)).alias(w) for i, w in enumerate(WORDS)], "n")
 
 
 def phrase_counts(docs: DataFrame, at_least: int, text: str = "text", lang: str = "lang"
