@@ -26,13 +26,16 @@ from rushline.operators import cleaning as cl  # noqa: E402
 from rushline.operators import evaluation as ev  # noqa: E402
 from rushline.operators import features as ft  # noqa: E402
 from rushline.operators import profile as pr  # noqa: E402
+from rushline.operators import search, sketches  # noqa: E402
 from rushline.operators import split as sp  # noqa: E402
 from rushline.operators import training as tr  # noqa: E402
 from rushline.plans import report  # noqa: E402
-from rushline.plans.run import alert_sample, prepare, processed_sample  # noqa: E402
-from rushline.sinks import scratch_uri, write_csv, write_json  # noqa: E402
+from rushline.plans.run import (  # noqa: E402
+    alert_sample, prepare, processed_sample, read_results, run_summary, train_all,
+)
+from rushline.sinks import RunLog, scratch_uri, write_csv, write_json, write_table  # noqa: E402
 from rushline.sources import (  # noqa: E402
-    RAW_SCHEMA, first_available, read_observations, read_report_csv,
+    RAW_SCHEMA, first_available, mount, read_document_paths, read_observations, read_report_csv,
 )
 from rushline.spec import (  # noqa: E402
     LEVEL_INDEX, QUANTILE_PROBS, FeatureSpec, ModelSettings, Spec,
@@ -674,18 +677,151 @@ def cv_best(spark, sf_dir):
     return _tuned(spark, sf_dir, "DecisionTree", SETTINGS)
 
 
+#: Inputs of the noisy rule: one category, so the best rule is known for every model.
+NOISY_FEATURES = FeatureSpec(scalars=(), categories=("weather_main",))
+# The level most events of a type have, and one in how many has the next one.
+NOISY_LEVELS = {"view": ("low", 5), "click": ("high", 4), "signup": ("medium", 7),
+                "error": ("high", 9), "purchase": ("low", 6)}
+
+
+def noisy_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared observations whose level follows the weather, but for some of each kind.
+
+    No model can do better than the most frequent level of a kind, so every figure
+    of a model that finds it follows from counts.
+    """
+    volumes = {"low": 1000, "medium": 2500, "high": 4000}
+    after = {"low": "medium", "medium": "high", "high": "low"}
+    volume = F.lit(None).cast("int")
+    for kind, (level, each) in NOISY_LEVELS.items():
+        other = F.col("event_id") % each == 0
+        volume = F.when(F.col("weather_main") == WEATHER_OF[kind], F.when(
+            other, volumes[after[level]]).otherwise(volumes[level])).otherwise(volume)
+    return prepare(observations(spark, sf_dir).withColumn("traffic_volume", volume), OBSERVED)
+
+
+def _points(scores):
+    return scores.withColumns({
+        "params": F.array_join(F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat(
+            e["key"], F.lit("="), e["value"])), ","),
+        "f1": F.round("f1", 4)})
+
+
+def _noisy_search(spark, sf_dir, name):
+    _, _, vectors = _training_set(noisy_rule(spark, sf_dir), NOISY_FEATURES)
+    fitted = tr.cross_validate(tr.candidate(name, SETTINGS), vectors, SETTINGS, "fold")
+    vectors.unpersist()
+    return _points(tr.cv_scores(spark, fitted))
+
+
 def cv_best_linear(spark, sf_dir):
-    """Search over regularisation: none wins on a rule without noise."""
-    settings = SETTINGS.fitted_with("LogisticRegression", maxIter=30).tuned_over(
-        "LogisticRegression", regParam=[0.0, 0.3], elasticNetParam=[0.0])
-    return _tuned(spark, sf_dir, "LogisticRegression", settings).drop("f1")
+    """The whole grid of the linear model, by Spark's own cross-validation."""
+    return _noisy_search(spark, sf_dir, "LogisticRegression")
 
 
 def cv_best_forest(spark, sf_dir):
-    """Search over depths too small and large enough for the rule."""
-    settings = SETTINGS.fitted_with("RandomForest", numTrees=10, featureSubsetStrategy="all")
-    return _tuned(spark, sf_dir, "RandomForest", settings.tuned_over(
-        "RandomForest", maxDepth=[1, 4])).drop("f1")
+    """The whole grid of the forest, by Spark's own cross-validation."""
+    return _noisy_search(spark, sf_dir, "RandomForest")
+
+
+def grid_search(spark, sf_dir):
+    """All grids of all models over folds they share: one layout and one scoring pass a fold."""
+    _, _, vectors = _training_set(noisy_rule(spark, sf_dir), NOISY_FEATURES)
+    cells = search.fold_cells(
+        tr.candidates(SETTINGS), vectors, SETTINGS, search.cells_table(spark))
+    vectors.unpersist()
+    return _points(search.grid_scores(cells))
+
+
+def additive_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared observations whose volume adds up weather, weekend and hour of day."""
+    weekend = F.dayofweek("date_time").isin(1, 7).cast("int")
+    night = (F.hour("date_time") < 6).cast("int")
+    weather = sum((F.when(F.col("weather_main") == w, v).otherwise(0) for w, v in (
+        ("Clouds", 1000), ("Snow", 2000), ("Fog", 3000), ("Rain", 4000))), F.lit(0))
+    return prepare(observations(spark, sf_dir).withColumn(
+        "traffic_volume", weather + 1000 * weekend - 3000 * night), OBSERVED)
+
+
+def rf_scores_cells(spark, sf_dir):
+    """A forest on a rule of several inputs: weather, weekend and hour together."""
+    features = FeatureSpec(scalars=("hour", "is_weekend", "month"), categories=("weather_main",))
+    test, feature_model, vectors = _training_set(additive_rule(spark, sf_dir), features)
+    settings = SETTINGS.fitted_with("RandomForest", featureSubsetStrategy="all")
+    fitted, _ = tr.fit_timed(tr.candidate("RandomForest", settings), vectors, settings)
+    vectors.unpersist()
+    return tr.score(test, tr.full_model(feature_model, fitted), features.scalars).groupBy(
+        "congestion", "predicted_level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def resumed_results(spark, sf_dir):
+    """Results of a run that broke after its first model and was resumed, twice."""
+    out = scratch_uri(spark, "resumed")
+    table = write_table(noisy_rule(spark, sf_dir), f"{out}/observations")
+    test = table.where(F.col("split") == "test")
+    log = RunLog(spark, f"{out}/log", "resumed", run_id="resumed")
+    linear = ModelSettings(params={"LogisticRegression": SETTINGS.params["LogisticRegression"]})
+    for settings in (linear, SETTINGS, SETTINGS):
+        train_all(table, test, out, OBSERVED, NOISY_FEATURES, settings, log, "resumed", resume=True)
+    cells = F.array_join(F.transform(F.flatten("confusion_matrix"), lambda n: n.cast("string")), ",")
+    return read_results(spark, out, "resumed").select(
+        "position", "model", "accuracy", "precision", "recall", "f1", "n_rows", cells.alias("cells"))
+
+
+def run_summary_document(spark, sf_dir):
+    """The summary of a run, written as JSON and read back as paths and values."""
+    out = scratch_uri(spark, "summary")
+    table = write_table(noisy_rule(spark, sf_dir), f"{out}/observations")
+    test = table.where(F.col("split") == "test")
+    log = RunLog(spark, None, "summary", run_id="summary")
+    tree = ModelSettings(params={"DecisionTree": SETTINGS.params["DecisionTree"]})
+    scores, _ = train_all(table, test, out, OBSERVED, NOISY_FEATURES, tree, log)
+    alerts = alert_sample(scores["DecisionTree"], OBSERVED, 8, True)
+    summary = run_summary(
+        pr.load_summary(table.select(*observations(spark, sf_dir).columns), "date_time", "events"),
+        table, read_results(spark, out), alerts, "DecisionTree", tree, log)
+    uri = write_json(summary, f"{out}/run_summary", single_file=True)
+    return read_document_paths(spark, uri).where(
+        ~F.col("path").rlike("train_time_s|^settings|feature_importances")).select("path", "value")
+
+
+def hashed_features(spark, sf_dir):
+    """Customers of any number in 256 slots of the vector, beside a price."""
+    features = FeatureSpec(scalars=("o_totalprice",), categories=(), hashed=("o_custkey",), hash_slots=256)
+    orders = _table(spark, sf_dir, "orders")
+    vector = vector_to_array("features")
+    built = ft.fit_features(orders, features).transform(orders).select("o_orderkey", vector.alias("v"))
+    hashed = F.slice("v", F.lit(2), F.lit(256))
+    return built.select(
+        "o_orderkey", F.get("v", F.lit(0)).alias("price"),
+        (F.array_position(hashed, F.lit(1.0)) - 1).alias("slot"),
+        F.aggregate(hashed, F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+def kept_sketches(spark, sf_dir):
+    """Quantiles of years from kept sketches of days: counts and ends are exact, ranks are
+    counted over the rows and held against the sketch's error."""
+    rows = _table(spark, sf_dir, "lineitem")
+    kept = write_table(
+        sketches.period_sketches(rows, F.to_date("l_shipdate"), SKETCHED), scratch_uri(spark, "sketches"))
+    year = F.year("period").alias("year")
+    found = sketches.range_quantiles(kept, by=[year]).unionByName(
+        sketches.range_quantiles(kept).withColumn("year", F.lit(0)))
+    wide = found.groupBy("year", "column", "n", "lowest", "highest").agg(*[
+        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"v{i}")
+        for i, p in enumerate(QUANTILE_PROBS)])
+    values = rows.select(F.year("l_shipdate").alias("y"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in SKETCHED]))
+    ).select(F.explode(F.array("y", F.lit(0))).alias("year"), "column", "x")
+    ranked = values.join(wide, ["year", "column"]).groupBy("year", "column", "n", "lowest", "highest").agg(*[
+        x for i in range(len(QUANTILE_PROBS))
+        for x in (F.count_if(F.col("x") < F.col(f"v{i}")).alias(f"lt{i}"),
+                  F.count_if(F.col("x") <= F.col(f"v{i}")).alias(f"le{i}"))])
+    slack = 2 * sketches.rank_error() * F.col("n") + 1
+    return ranked.select("year", "column", "n", "lowest", "highest", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("prob"), ((F.col(f"lt{i}") <= p * F.col("n") + slack) & (
+            F.col(f"le{i}") >= p * F.col("n") - slack)).alias("within"))
+        for i, p in enumerate(QUANTILE_PROBS)])))
 
 
 # --------------------------------------------------------------------------
@@ -748,6 +884,78 @@ def saved_alerts(spark, sf_dir):
     return spark.read.schema(rows.schema).json(uri).select("datetime", "predicted_level", "alert")
 
 
+def mounted_tables(spark, sf_dir):
+    """Raw observations written and read by URIs of a mounted store, as CSV, then as Parquet."""
+    store = mount(spark, f"store{os.getpid()}x{id(sf_dir)}", {"/data": scratch_uri(spark, "store")})
+    csv = write_csv(_raw_observations(spark, sf_dir), f"{store}/data/raw")
+    df, used = first_available(spark, [f"{store}/data/absent", csv])
+    assert used == csv
+    return _read_raw(write_table(df, f"{store}/data/table"))
+
+
+def saved_alert_contexts(spark, sf_dir):
+    """The contexts of written alert records, read back with their types."""
+    rows = alert_sample(prepare(observations(spark, sf_dir), OBSERVED), OBSERVED, 8, False)
+    uri = write_json(rows, scratch_uri(spark, "alerts"), single_file=True)
+    return spark.read.schema(rows.schema).json(uri).select(
+        "datetime", "context.level", "context.hour", "context.day_name", "context.weather_main",
+        "context.weather_description", "context.holiday", "context.p_low", "context.p_medium",
+        "context.p_high", F.round("context.temp_c", 4).alias("temp_c"))
+
+
+def saved_sample(spark, sf_dir):
+    """The processed sample as one CSV file, read back."""
+    rows = processed_sample(prepare(observations(spark, sf_dir), OBSERVED), OBSERVED)
+    uri = write_csv(rows, scratch_uri(spark, "sample"), single_file=True)
+    return read_report_csv(spark, uri, rows.schema)
+
+
+def schema_listing(spark, sf_dir):
+    """Columns and types of every bundled star table, as Spark reads them."""
+    tables = [pr.schema_listing(_table(spark, sf_dir, t)).select(F.lit(t).alias("table"), "*")
+              for t in ("events", "orders", "documents", "conversations")]
+    listed = tables[0]
+    for table in tables[1:]:
+        listed = listed.union(table)
+    return listed.select("table", "position", "name", F.regexp_replace(
+        "type", "^(timestamp_ntz|timestamp)$", "time").alias("type"))
+
+
+def profile_document_paths(spark, sf_dir):
+    """The written profile document as paths and values: what does not hang on rounding."""
+    uri = scratch_uri(spark, "profile")
+    report.write_profile(observations(spark, sf_dir), uri, OBSERVED)
+    paths = read_document_paths(spark, f"{uri}/profile")
+    return paths.where(F.col("path").rlike(
+        "^(row_count|column_count|null_counts|hourly_volume.*(hour|n_records)|"
+        "weather_main_distribution|holiday_distribution|weather_volume_table)")).select("path", "value")
+
+
+def run_log_events(spark, sf_dir):
+    """Two runs that log to one place in turns, with events that a retry repeats."""
+    uri = scratch_uri(spark, "log")
+    kinds = _table(spark, sf_dir, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("most"))
+    logs = [RunLog(spark, uri, "both", run_id=f"run-{i}") for i in range(2)]
+    for log in logs:
+        log.start(source="events")
+    for _ in range(2):
+        for i, log in enumerate(logs):
+            log.record_profile(kinds.where(F.length("event_type") % 2 == i).agg(
+                F.sum("n").alias("row_count"), F.max("most").alias("most")))
+    logs[0].record_model("first", {"depth": 1}, {"f1": 0.5})
+    logs[0].record_model("first", {"depth": 1}, {"f1": 0.5})
+    logs[1].record_model("second", {"depth": 2}, {"f1": 0.25})
+    for log in logs:
+        log.finish()
+    return RunLog.runs(spark, uri).select(
+        "run_id", "experiment", F.col("settings")["source"].alias("source"),
+        F.array_join("models", ",").alias("models"),
+        F.col("profile_summary")["row_count"].alias("row_count"),
+        F.col("profile_summary")["most"].alias("most"),
+        (F.col("started_at") <= F.col("finished_at")).alias("in_order"))
+
+
 # --------------------------------------------------------------------------
 # Contract
 # --------------------------------------------------------------------------
@@ -765,6 +973,9 @@ QUERIES = (
     best_worst_model, model_gap, best_recall_range, alert_text, prompt_table, request_bodies,
     response_parse, adhoc_alerts, lr_scores, dt_scores, rf_scores, saved_model_scores,
     predicted_alerts, importances, importances_by_source, model_results, cv_best, cv_best_linear, cv_best_forest,
+    grid_search, rf_scores_cells, resumed_results, run_summary_document, hashed_features, kept_sketches,
+    mounted_tables, saved_alert_contexts, saved_sample, schema_listing, profile_document_paths,
+    run_log_events,
     csv_scan, gzip_csv_scan, saved_profile, saved_class_counts, saved_class_metrics, saved_alerts,
 )
 

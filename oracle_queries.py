@@ -209,6 +209,74 @@ hourly as (
   from events
 )"""
 
+# The noisy rule, its best rule and what figures follow from a matrix.
+NOISY = """
+noisy as (
+  select event_id, ts, event_type, case event_type
+      when 'view' then case when event_id % 5 = 0 then 'medium' else 'low' end
+      when 'click' then case when event_id % 4 = 0 then 'low' else 'high' end
+      when 'signup' then case when event_id % 7 = 0 then 'high' else 'medium' end
+      when 'error' then case when event_id % 9 = 0 then 'low' else 'high' end
+      when 'purchase' then case when event_id % 6 = 0 then 'medium' else 'low' end end as level,
+    concat('0x', substr(md5(event_id::varchar), 1, 8))::bigint % 100 < 80 as trained,
+    (concat('0x', substr(md5('fold' || event_id::varchar), 1, 8))::bigint % 3)::integer as fold
+  from events)"""
+
+
+def _metrics(cells: str) -> str:
+    """CTEs from ``cells`` (part, level, predicted, n) to ``metrics`` by part."""
+    return f"""
+shares as (
+  select part, class, sum(actual) as support, sum(claimed) as claimed, sum(hit) as hit from (
+    select part, level as class, n as actual, 0 as claimed,
+      case when level = predicted then n else 0 end as hit from {cells}
+    union all select part, predicted, 0, n, 0 from {cells}) group by part, class),
+rates as (select *, case when claimed = 0 then 0 else hit / claimed end as p,
+    case when support = 0 then 0 else hit / support end as r from shares),
+metrics as (select part, sum(hit) / sum(support) as accuracy, sum(p * support) / sum(support) as precision,
+    sum(r * support) / sum(support) as recall, sum(support)::bigint as n_rows,
+    sum(case when p + r = 0 then 0 else 2 * p * r / (p + r) end * support) / sum(support) as f1
+  from rates group by part)"""
+
+
+FOLD_SCORE = f"""
+{NOISY},
+votes as (select f.fold, event_type, level, count(*) as n from noisy, (values (0), (1), (2)) f(fold)
+  where trained and noisy.fold <> f.fold group by f.fold, event_type, level),
+best as (select fold, event_type, arg_max(level, n) as predicted from votes group by fold, event_type),
+cells as (select noisy.fold as part, level, predicted, count(*) as n
+  from noisy join best on noisy.fold = best.fold and noisy.event_type = best.event_type
+  where trained group by noisy.fold, level, predicted),
+{_metrics('cells')},
+score as (select round(avg(f1), 4) as f1 from metrics)"""
+
+GRID_POINTS = """(values
+    ('LogisticRegression', 0, 'elasticNetParam=0.0,regParam=0.0'),
+    ('LogisticRegression', 1, 'elasticNetParam=0.5,regParam=0.0'),
+    ('LogisticRegression', 2, 'elasticNetParam=0.0,regParam=0.01'),
+    ('LogisticRegression', 3, 'elasticNetParam=0.5,regParam=0.01'),
+    ('LogisticRegression', 4, 'elasticNetParam=0.0,regParam=0.1'),
+    ('LogisticRegression', 5, 'elasticNetParam=0.5,regParam=0.1'),
+    ('DecisionTree', 0, 'maxDepth=6'), ('DecisionTree', 1, 'maxDepth=8'),
+    ('DecisionTree', 2, 'maxDepth=10'), ('DecisionTree', 3, 'maxDepth=12'),
+    ('RandomForest', 0, 'maxDepth=12,numTrees=60'), ('RandomForest', 1, 'maxDepth=15,numTrees=60'),
+    ('RandomForest', 2, 'maxDepth=12,numTrees=100'), ('RandomForest', 3, 'maxDepth=15,numTrees=100')
+  ) points(model, position, params)"""
+
+TEST_SCORE = f"""
+{NOISY},
+votes as (select event_type, level, count(*) as n from noisy where trained group by event_type, level),
+best as (select event_type, arg_max(level, n) as predicted from votes group by event_type),
+cells as (select 0 as part, level, predicted, count(*) as n from noisy join best using (event_type)
+  where not trained group by level, predicted),
+{_metrics('cells')},
+grid as (select i, j, coalesce(n, 0) as n from (values (0, 'high'), (1, 'low'), (2, 'medium')) a(i, x)
+  cross join (values (0, 'high'), (1, 'low'), (2, 'medium')) b(j, y)
+  left join cells on level = x and predicted = y),
+rounded as (select round(accuracy, 4) as accuracy, round(precision, 4) as precision,
+    round(recall, 4) as recall, round(f1, 4) as f1, n_rows from metrics)"""
+
+
 ORACLES: dict[str, str] = {
     "hourly_profile": """
         select hour(ts)::integer as hour, round(avg(value), 4) as avg_volume,
@@ -475,13 +543,6 @@ ORACLES: dict[str, str] = {
     "cv_best": """
         select unnest([0, 1, 2, 3])::integer as position,
           'maxDepth=' || (6 + 2 * position) as params, 1.0::double as f1, position = 0 as is_best""",
-    "cv_best_linear": """
-        select unnest([0, 1])::integer as position,
-          'elasticNetParam=0.0,regParam=' || ['0.0', '0.3'][position + 1] as params,
-          position = 0 as is_best""",
-    "cv_best_forest": """
-        select unnest([0, 1])::integer as position,
-          'maxDepth=' || [1, 4][position + 1] as params, position = 1 as is_best""",
     "quantiles_approx": """
         select c as "column", p as prob, true as within
         from (select unnest(['l_extendedprice', 'l_quantity']) as c),
@@ -550,4 +611,106 @@ ORACLES: dict[str, str] = {
         """ + ALERT.format(
         level="level", day="day_name", hour="hour", percent="80", weather="weather_main",
         detail="weather_description", holiday="holiday") + " as alert from first",
+    "cv_best_linear": f"""
+        with {FOLD_SCORE} select position::integer as position, params, f1, position = 0 as is_best
+        from score, {GRID_POINTS} where model = 'LogisticRegression'""",
+    "cv_best_forest": f"""
+        with {FOLD_SCORE} select position::integer as position, params, f1, position = 0 as is_best
+        from score, {GRID_POINTS} where model = 'RandomForest'""",
+    "grid_search": f"""
+        with {FOLD_SCORE} select model, position::integer as position, params, f1,
+          position = 0 as is_best from score, {GRID_POINTS}""",
+    "rf_scores_cells": f"""
+        with {OBS}, ruled as (select event_id, case weather_main when 'Clouds' then 1000
+            when 'Snow' then 2000 when 'Fog' then 3000 when 'Rain' then 4000 else 0 end
+          + case when dayofweek(date_time) in (0, 6) then 1000 else 0 end
+          - case when hour(date_time) < 6 then 3000 else 0 end as volume from obs),
+        levels as (select case when volume <= 1500 then 'low' when volume >= 3500 then 'high'
+            else 'medium' end as congestion from ruled
+          where not concat('0x', substr(md5(event_id::varchar), 1, 8))::bigint % 100 < 80)
+        select congestion, congestion as predicted_level, count(*) as n from levels group by 1""",
+    "resumed_results": f"""
+        with {TEST_SCORE} select position::integer as position, model, rounded.*,
+          (select string_agg(n::varchar, ',' order by i, j) from grid) as cells
+        from rounded, (values (0, 'LogisticRegression'), (1, 'DecisionTree'), (2, 'RandomForest'))
+          models(position, model)""",
+    "run_summary_document": f"""
+        with {TEST_SCORE}, counted as (
+          select count(*) filter (trained) as train, count(*) filter (not trained) as test,
+            count(*) as n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as first,
+            strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last from noisy)
+        select path, value from counted, rounded, lateral (values
+          ('load.rows', n::varchar), ('load.columns', '10'), ('load.date_range_start', first),
+          ('load.date_range_end', last), ('load.source', 'events'), ('best_model', 'DecisionTree'),
+          ('train_rows', train::varchar), ('test_rows', test::varchar), ('n_sample_alerts', '8'),
+          ('run_id', 'summary'), ('run_log', null), ('cross_validation', 'false'),
+          ('model_results[0].position', '0'), ('model_results[0].model', 'DecisionTree'),
+          ('model_results[0].accuracy', accuracy::varchar),
+          ('model_results[0].precision', precision::varchar),
+          ('model_results[0].recall', recall::varchar), ('model_results[0].f1', f1::varchar),
+          ('model_results[0].n_rows', n_rows::varchar),
+          ('model_results[0].parameters.class', 'DecisionTreeClassificationModel'),
+          ('model_results[0].parameters.maxBins', '64'),
+          ('model_results[0].parameters.maxDepth', '7')) t(path, value)
+        union all select 'model_results[0].confusion_matrix[' || i || '][' || j || ']', n::varchar from grid""",
+    "hashed_features": """
+        select o_orderkey, o_totalprice::double as price,
+          concat('0x', substr(md5('o_custkey=' || o_custkey::varchar), 1, 8))::bigint % 256 as slot,
+          1.0::double as total from orders""",
+    "kept_sketches": """
+        with x as (select year(l_shipdate)::integer as y, l_extendedprice::double as l_extendedprice,
+            l_quantity::double as l_quantity from lineitem),
+        long as (select unnest([y, 0]) as year, 'l_extendedprice' as c, l_extendedprice as v from x
+          union all select unnest([y, 0]), 'l_quantity', l_quantity from x)
+        select year::integer as year, c as "column", n, lowest, highest, p as prob, true as within
+        from (select year, c, count(*) as n, min(v) as lowest, max(v) as highest from long group by 1, 2),
+          (select unnest([0.05, 0.25, 0.5, 0.75, 0.95]::double[]) as p)""",
+    "mounted_tables": RAW_FILE,
+    "saved_alert_contexts": f"""
+        with {CONTEXTS}, picked as (
+          select c.*, date_time from contexts c join derived d using (event_id)
+          qualify row_number() over (partition by (c.hour // 3), level
+            order by date_time, c.hour, d.day_of_week, c.weather_main) = 1),
+        first as (select * from picked order by strftime(date_time, '%Y-%m-%d %H:%M:%S'),
+          hour // 3, level limit 8)
+        select strftime(date_time, '%Y-%m-%d %H:%M:%S') as datetime, level, hour, day_name,
+          weather_main, weather_description, holiday, p_low, p_medium, p_high,
+          round(temp_c, 4) as temp_c from first""",
+    "schema_listing": """
+        select table_name as "table", (ordinal_position - 1)::integer as position,
+          column_name as name, case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int'
+            when 'VARCHAR' then 'string' when 'DOUBLE' then 'double' when 'DATE' then 'date'
+            else 'time' end as type
+        from information_schema.columns
+        where table_name in ('events', 'orders', 'documents', 'conversations')""",
+    "profile_document_paths": f"""
+        with {OBS}, hours as (select hour(date_time) as h, count(*) as n from obs group by 1),
+        weather as (select weather_main as w, count(*) as n from obs group by 1
+          order by n desc, w limit 20),
+        days as (select holiday as w, count(*) as n from obs group by 1 order by n desc, w limit 20)
+        select 'row_count' as path, count(*)::varchar as value from obs
+        union all select 'column_count', '10'
+        union all select 'weather_volume_table', 'profile_weather_volume'
+        union all select 'hourly_volume[' || (row_number() over (order by h) - 1) || '].hour', h::varchar
+          from hours
+        union all select 'hourly_volume[' || (row_number() over (order by h) - 1) || '].n_records',
+          n::varchar from hours
+        union all select 'weather_main_distribution[' || (row_number() over (order by n desc, w) - 1)
+          || '].weather_main', w from weather
+        union all select 'weather_main_distribution[' || (row_number() over (order by n desc, w) - 1)
+          || '].count', n::varchar from weather
+        union all select 'holiday_distribution[' || (row_number() over (order by n desc, w) - 1)
+          || '].holiday', w from days
+        union all select 'holiday_distribution[' || (row_number() over (order by n desc, w) - 1)
+          || '].count', n::varchar from days
+        """ + "".join(
+            f"union all select 'null_counts.{c}', (count(*) filter ({c} is null))::varchar from obs "
+            for c in ("event_id", "holiday", "temp", "rain_1h", "snow_1h", "clouds_all",
+                      "weather_main", "weather_description", "date_time", "traffic_volume")),
+    "run_log_events": """
+        select 'run-' || (length(event_type) % 2) as run_id, 'both' as experiment, 'events' as source,
+          ['first', 'second'][length(event_type) % 2 + 1] as models, count(*)::double as row_count,
+          max(value) as most, true as in_order from events group by length(event_type) % 2""",
 }
+
+ORACLES["saved_sample"] = ORACLES["processed_rows"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -85,12 +85,15 @@ def cv_scores(spark: SparkSession, fitted: CrossValidatorModel) -> DataFrame:
 def fit_timed(candidate: Candidate, train: DataFrame, settings: ModelSettings,
               fold: str | None = None) -> tuple[Model, float]:
     """The fitted (or best tuned) model and the seconds it took."""
-    started = time.monotonic()
     if settings.tune:
-        model = cross_validate(candidate, train, settings, fold).bestModel
-    else:
-        model = candidate.estimator.fit(train)
-    return model, time.monotonic() - started
+        return timed(lambda: cross_validate(candidate, train, settings, fold).bestModel)
+    return timed(lambda: candidate.estimator.fit(train))
+
+
+def timed(fit: Callable[[], Model]) -> tuple[Model, float]:
+    """What ``fit`` returns and the seconds it took."""
+    started = time.monotonic()
+    return fit(), time.monotonic() - started
 
 
 # Small tables are cut into this many values per task, up to the given number of

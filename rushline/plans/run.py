@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.base import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +12,11 @@ from rushline.operators import cleaning as cl
 from rushline.operators import evaluation as ev
 from rushline.operators import features as ft
 from rushline.operators import profile as pr
+from rushline.operators import search
 from rushline.operators import split as sp
 from rushline.operators import training as tr
 from rushline.plans.report import write_profile
-from rushline.sinks import RunLog, append_table, write_csv, write_json, write_table
+from rushline.sinks import KeyedTable, RunLog, write_csv, write_json, write_table
 from rushline.sources import join_uri
 from rushline.spec import LEVELS, FeatureSpec, ModelSettings, Spec
 
@@ -23,6 +25,7 @@ RESULT_SCHEMA = (
     "recall double, f1 double, n_rows bigint, confusion_matrix array<array<bigint>>, "
     "feature_importances array<double>, parameters map<string,string>"
 )
+RESULT_KEYS = ("run", "position")
 SAMPLE_COLUMNS = (
     "hour", "day_of_week", "is_weekend", "temp_c", "rain_1h", "snow_1h",
 )
@@ -67,9 +70,15 @@ def run(
     n_alerts: int = 8,
     alerts_from: str = "prediction",
     with_charts: bool = True,
+    run_key: str = "run",
+    resume: bool = False,
 ) -> DataFrame:
     """Write every artifact of a run under ``out``; returns the one-row summary.
 
+    With ``resume`` a run that broke goes on under its ``run_key``: models whose
+    result row was written are loaded, not fitted again, and a tuned search keeps
+    the folds it had finished. Without it earlier results of ``out`` are dropped.
+
     Alerts describe the best model's predictions; with ``alerts_from="level"``
     they describe the observed levels with constant shares. ``with_charts=False``
     leaves the chart tables out.
@@ -100,8 +109,9 @@ def run(
     write_csv(processed_sample(table, spec), at("processed_sample"), single_file=True)
 
     test = table.filter(F.col("split") == "test")
-    scores, weights = train_all(table, test, out, spec, features, settings, log)
-    results = read_results(spark, out)
+    scores, weights = train_all(
+        table, test, out, spec, features, settings, log, run_key, resume)
+    results = read_results(spark, out, run_key)
     matrices = result_matrices(results)
     write_csv(
         results.orderBy("position").select("model", *ev.METRICS, "train_time_s"),
@@ -128,7 +138,7 @@ def run(
 
 def write_charts(
     table: DataFrame, profile: dict[str, DataFrame], counts: DataFrame, results: DataFrame,
-    matrices: DataFrame, weights: DataFrame, out: str, spec: Spec,
+    matrices: DataFrame, weights: DataFrame | None, out: str, spec: Spec,
 ) -> None:
     """The nine chart tables."""
     bars = {
@@ -141,22 +151,24 @@ def write_charts(
             table, spec.measure, low_max=spec.low_max, high_min=spec.high_min),
         "model_comparison": ev.metrics_long(results.select("model", *ev.METRICS)),
         "confusion": ev.named_confusion(matrices, by=["model"]),
-        "feature_importance": charts.importance_bars(weights),
     }
+    if weights is not None:  # only forests have them
+        bars["feature_importance"] = charts.importance_bars(weights)
     for name, chart in bars.items():
         write_csv(chart, join_uri(out, "charts", name))
 
 
 def train_all(
     table: DataFrame, test: DataFrame, out: str, spec: Spec, features: FeatureSpec,
-    settings: ModelSettings, log: RunLog,
-) -> tuple[dict[str, DataFrame], DataFrame]:
+    settings: ModelSettings, log: RunLog, run_key: str = "run", resume: bool = False,
+) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """Fit, save, score and evaluate every candidate.
 
     Returns the scored test rows of each model and the forest's importances. The
     test rows are scored once per model, into a table that metrics and alerts
-    read. A model's row is appended to the results as soon as it is evaluated, so
-    a broken run keeps the models it had finished.
+    read. A model's row is put into the results as soon as it is evaluated, as the
+    last thing written of it; a run resumed under the same key fits only models
+    without a row, and putting a row again replaces it.
     """
     spark = table.sparkSession
     train = ft.complete_rows(table.filter(F.col("split") == "train"), features)
@@ -168,19 +180,29 @@ def train_all(
         spec.holiday, "congestion", "label", "prediction", "predicted_level",
         *(f"p_{name}" for name in LEVELS)])
 
-    uri = join_uri(out, "results", "model_results")
-    spark.createDataFrame([], RESULT_SCHEMA).write.mode("overwrite").parquet(uri)
+    table_of_results = results_table(spark, out)
+    cells = search.cells_table(spark, join_uri(out, "results", "search"))
+    if not resume:
+        table_of_results.clear()
+        cells.clear()
+    finished = {(r["position"], r["model"]) for r in read_results(spark, out, run_key).collect()}
     scores, weights = {}, None
     for position, candidate in enumerate(tr.candidates(settings)):
-        fitted, seconds = tr.fit_timed(
-            candidate, vectors, settings, "fold" if settings.tune else None)
-        model = tr.full_model(feature_model, fitted)
-        tr.save_model(model, join_uri(out, "models", candidate.name.lower()))
-        scored = write_table(
-            tr.score(test, model, features.scalars).select(*kept),
-            join_uri(out, "scores", candidate.name.lower()))
-        append_table(tr.result_row(position, candidate.name, seconds, fitted, scored), uri)
-        log.record_results(read_results(spark, out).filter(F.col("position") == position))
+        name = candidate.name.lower()
+        model_uri, score_uri = join_uri(out, "models", name), join_uri(out, "scores", name)
+        if (position, candidate.name) in finished:
+            fitted = tr.load_model(model_uri).stages[-1]
+            scored = spark.read.parquet(score_uri)
+        else:
+            fitted, seconds = tr.timed(lambda c=candidate: tuned(c, vectors, settings, cells, run_key))
+            model = tr.full_model(feature_model, fitted)
+            tr.save_model(model, model_uri)
+            scored = write_table(
+                tr.score(test, model, features.scalars).select(*kept), score_uri)
+            row = tr.result_row(position, candidate.name, seconds, fitted, scored)
+            table_of_results.put(row.withColumn("run", F.lit(run_key)))
+            log.record_results(
+                read_results(spark, out, run_key).filter(F.col("position") == position))
         scores[candidate.name] = scored
         if candidate.name == "RandomForest":
             weights = tr.importances(fitted, vectors, features)
@@ -188,9 +210,23 @@ def train_all(
     return scores, weights
 
 
-def read_results(spark: SparkSession, out: str) -> DataFrame:
-    """The results table of a run, one row per finished model."""
-    return spark.read.schema(RESULT_SCHEMA).parquet(join_uri(out, "results", "model_results"))
+def tuned(candidate: tr.Candidate, vectors: DataFrame, settings: ModelSettings,
+          cells: KeyedTable, run_key: str) -> Model:
+    """The candidate fitted on all training rows, with the best of its grid if asked for."""
+    if settings.tune:
+        chosen, _ = search.tuned_models([candidate], vectors, settings, cells, run_key)
+        candidate = chosen[candidate.name]
+    return candidate.estimator.fit(vectors)
+
+
+def results_table(spark: SparkSession, out: str) -> KeyedTable:
+    return KeyedTable(spark, join_uri(out, "results", "model_results"),
+                      f"run string, {RESULT_SCHEMA}", RESULT_KEYS)
+
+
+def read_results(spark: SparkSession, out: str, run_key: str = "run") -> DataFrame:
+    """The results of a run, one row per finished model."""
+    return results_table(spark, out).read().where(F.col("run") == run_key).drop("run")
 
 
 def alert_sample(rows: DataFrame, spec: Spec, n: int, predicted: bool) -> DataFrame:

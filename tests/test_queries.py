@@ -10,7 +10,7 @@ ORACLES = contract.ORACLES
 TRAINED = {
     "lr_scores", "dt_scores", "rf_scores", "saved_model_scores", "predicted_alerts",
     "importances", "importances_by_source", "model_results", "cv_best", "cv_best_linear",
-    "cv_best_forest",
+    "cv_best_forest", "grid_search", "rf_scores_cells", "resumed_results", "run_summary_document",
 }
 
 
@@ -39,8 +39,8 @@ def test_trained_query_equals_the_rule(spark, sf_dir, db, name):
 
 
 EAGER = TRAINED | {
-    "quantiles_exact", "quantiles_exact_lineitem", "category_index", "category_index_wide",
-    "saved_profile",
+    "quantiles_exact", "quantiles_exact_lineitem", "saved_profile", "profile_document_paths",
+    "run_log_events",
 }
 
 
