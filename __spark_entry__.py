@@ -743,17 +743,28 @@ def additive_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
         "traffic_volume", weather + 1000 * weekend - 3000 * night), OBSERVED)
 
 
-def rf_scores_cells(spark, sf_dir):
-    """A forest on a rule of several inputs: weather, weekend and hour together."""
-    features = FeatureSpec(scalars=("hour", "is_weekend", "month"), categories=("weather_main",))
-    test, feature_model, vectors = _training_set(additive_rule(spark, sf_dir), features)
-    settings = SETTINGS.fitted_with("RandomForest", featureSubsetStrategy="all")
-    fitted, _ = tr.fit_timed(tr.candidate("RandomForest", settings), vectors, settings)
+def _additive_scores(rows, features, name, settings):
+    test, feature_model, vectors = _training_set(rows, features)
+    fitted, _ = tr.fit_timed(tr.candidate(name, settings), vectors, settings)
     vectors.unpersist()
     return tr.score(test, tr.full_model(feature_model, fitted), features.scalars).groupBy(
         "congestion", "predicted_level").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rf_scores_cells(spark, sf_dir):
+    """A forest on a rule of several inputs: weather, weekend and hour together."""
+    features = FeatureSpec(scalars=("hour", "is_weekend", "month"), categories=("weather_main",))
+    return _additive_scores(additive_rule(spark, sf_dir), features, "RandomForest",
+                            SETTINGS.fitted_with("RandomForest", featureSubsetStrategy="all"))
+
+
+def lr_scores_cells(spark, sf_dir):
+    """The linear model on the same rule by day: weather and weekend add up."""
+    features = FeatureSpec(scalars=("is_weekend",), categories=("weather_main",))
+    by_day = additive_rule(spark, sf_dir).where("hour >= 6")
+    return _additive_scores(by_day, features, "LogisticRegression", SETTINGS)
+
+
 def resumed_results(spark, sf_dir):
     """Results of a run that broke after its first model and was resumed, twice."""
     out = scratch_uri(spark, "resumed")
@@ -973,7 +984,7 @@ QUERIES = (
     best_worst_model, model_gap, best_recall_range, alert_text, prompt_table, request_bodies,
     response_parse, adhoc_alerts, lr_scores, dt_scores, rf_scores, saved_model_scores,
     predicted_alerts, importances, importances_by_source, model_results, cv_best, cv_best_linear, cv_best_forest,
-    grid_search, rf_scores_cells, resumed_results, run_summary_document, hashed_features, kept_sketches,
+    grid_search, rf_scores_cells, lr_scores_cells, resumed_results, run_summary_document, hashed_features, kept_sketches,
     mounted_tables, saved_alert_contexts, saved_sample, schema_listing, profile_document_paths,
     run_log_events,
     csv_scan, gzip_csv_scan, saved_profile, saved_class_counts, saved_class_metrics, saved_alerts,

@@ -263,6 +263,15 @@ GRID_POINTS = """(values
     ('RandomForest', 2, 'maxDepth=12,numTrees=100'), ('RandomForest', 3, 'maxDepth=15,numTrees=100')
   ) points(model, position, params)"""
 
+ADDITIVE = f"""
+{OBS}, ruled as (select event_id, hour(date_time) as hour, case weather_main when 'Clouds' then 1000
+    when 'Snow' then 2000 when 'Fog' then 3000 when 'Rain' then 4000 else 0 end
+  + case when dayofweek(date_time) in (0, 6) then 1000 else 0 end
+  - case when hour(date_time) < 6 then 3000 else 0 end as volume from obs),
+levels as (select hour, case when volume <= 1500 then 'low' when volume >= 3500 then 'high'
+    else 'medium' end as congestion from ruled
+  where not concat('0x', substr(md5(event_id::varchar), 1, 8))::bigint % 100 < 80)"""
+
 TEST_SCORE = f"""
 {NOISY},
 votes as (select event_type, level, count(*) as n from noisy where trained group by event_type, level),
@@ -620,15 +629,10 @@ ORACLES: dict[str, str] = {
     "grid_search": f"""
         with {FOLD_SCORE} select model, position::integer as position, params, f1,
           position = 0 as is_best from score, {GRID_POINTS}""",
-    "rf_scores_cells": f"""
-        with {OBS}, ruled as (select event_id, case weather_main when 'Clouds' then 1000
-            when 'Snow' then 2000 when 'Fog' then 3000 when 'Rain' then 4000 else 0 end
-          + case when dayofweek(date_time) in (0, 6) then 1000 else 0 end
-          - case when hour(date_time) < 6 then 3000 else 0 end as volume from obs),
-        levels as (select case when volume <= 1500 then 'low' when volume >= 3500 then 'high'
-            else 'medium' end as congestion from ruled
-          where not concat('0x', substr(md5(event_id::varchar), 1, 8))::bigint % 100 < 80)
-        select congestion, congestion as predicted_level, count(*) as n from levels group by 1""",
+    "rf_scores_cells": f"with {ADDITIVE} select congestion, congestion as predicted_level, count(*) as n "
+                       "from levels group by 1",
+    "lr_scores_cells": f"with {ADDITIVE} select congestion, congestion as predicted_level, count(*) as n "
+                       "from levels where hour >= 6 group by 1",
     "resumed_results": f"""
         with {TEST_SCORE} select position::integer as position, model, rounded.*,
           (select string_agg(n::varchar, ',' order by i, j) from grid) as cells

@@ -10,7 +10,7 @@ ORACLES = contract.ORACLES
 TRAINED = {
     "lr_scores", "dt_scores", "rf_scores", "saved_model_scores", "predicted_alerts",
     "importances", "importances_by_source", "model_results", "cv_best", "cv_best_linear",
-    "cv_best_forest", "grid_search", "rf_scores_cells", "resumed_results", "run_summary_document",
+    "cv_best_forest", "grid_search", "rf_scores_cells", "lr_scores_cells", "resumed_results", "run_summary_document",
 }
 
 
