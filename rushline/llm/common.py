@@ -30,6 +30,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, scratch_uri(df.sparkSession, name))
 
 
+#: Most rows of a table that is broadcast, some hundred bytes each.
+MOST_BROADCAST_ROWS = 50_000
+
+
+def join_few(rows: DataFrame, few: DataFrame, left: str, right: str, salt: Column,
+             how: str = "inner", most: int = MOST_BROADCAST_ROWS, salts: int = 16) -> DataFrame:
+    """``rows`` joined to a stored table that has one row per key, NULL equal to NULL.
+
+    Up to a checked number of rows the table is broadcast and ``rows`` stay where they
+    are. Beyond it every row of the table stands once per salt, and ``rows`` are dealt by
+    key and salt, so a key that a third of them share goes to many tasks.
+    """
+    same = F.col(left).eqNullSafe(F.col(right))
+    if few.count() <= most:
+        return rows.join(F.broadcast(few), same, how)
+    part, copy = fresh(rows, "salt"), fresh(few, "salt_copy")
+    dealt = rows.withColumn(part, F.pmod(salt, F.lit(salts)).cast("int"))
+    copies = few.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, same & (F.col(part) == F.col(copy)), how).drop(part, copy)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have, in any case."""
     taken = {c.lower() for c in df.columns}

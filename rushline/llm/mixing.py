@@ -24,11 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rushline.llm.common import fresh, stored, text_or_empty, words_of
-
-
-#: Most sources that are broadcast, some hundred bytes each.
-MOST_BROADCAST_SOURCES = 50_000
+from rushline.llm.common import fresh, join_few, stored, text_or_empty, words_of
+from rushline.operators.ranking import numbered
 
 
 @dataclass(frozen=True)
@@ -50,12 +47,9 @@ def word_count(text: Column) -> Column:
 def ranked_weights(sources: DataFrame, weights: Sequence[float]) -> DataFrame:
     """``sources`` with ``weight``: the weights repeat over the sources in order of
     code points, NULL last. The rank comes from a distributed sort."""
-    ordered = sources.orderBy(F.col("source").asc_nulls_last())
-    schema = f"{ordered.schema.simpleString()[7:-1]},weight:double"
-    numbered = ordered.rdd.zipWithIndex().map(
-        lambda pair: (*pair[0], float(weights[pair[1] % len(weights)])))
-    fields = schema.replace(":", " ")
-    return sources.sparkSession.createDataFrame(numbered, fields)
+    ranked = numbered(sources, [F.col("source").asc_nulls_last()], "weight")
+    repeated = F.array(*[F.lit(float(w)) for w in weights])
+    return ranked.withColumn("weight", F.get(repeated, (F.col("weight") % len(weights)).cast("int")))
 
 
 def filled_targets(sources: DataFrame, max_rate: int) -> DataFrame:
@@ -157,7 +151,7 @@ def rounded(sized: DataFrame, rates: DataFrame, rule: Balance) -> DataFrame:
     for step in range(rule.steps):
         # The first histogram covers 0 .. 2 finely, with all beyond in its last slot.
         width = F.lit(2.0) if step == 0 else F.col("width")
-        inside = scored.join(bounds.select(by("source"), "low", "width"), group).where(
+        inside = of_source(scored, bounds.select(by("source"), "low", "width")).where(
             (F.col("priority") >= F.col("low")) & (F.col("priority") < F.col("low") + F.col("width")))
         slot = F.least(F.floor((F.col("priority") - F.col("low")) / width * rule.slots),
                        F.lit(rule.slots - 1)).cast("long")
@@ -186,14 +180,13 @@ def rounded(sized: DataFrame, rates: DataFrame, rule: Balance) -> DataFrame:
         F.array().cast("array<bigint>").alias("add"), F.array().cast("array<bigint>").alias("cut"))
     state = stored(state, "mix_rounding")
     for _ in range(rule.corrections):
-        given = scored.join(state.select(
-            by("source"), "threshold", "add", "cut", "target"), group)
+        given = of_source(scored, state.select(by("source"), "threshold", "add", "cut", "target"))
         extra = extra_copies()
         got = given.groupBy(by("source")).agg(F.sum(
             (F.col("whole") + extra) * F.col("size")).alias("got"))
-        left = state.select("source", (F.col("target")).alias("want")).join(got, group).select(
-            by("source"), (F.col("want") - F.col("got")).alias("left"))
-        fitting = given.drop("source_").join(left, group).where(
+        left = stored(state.select("source", (F.col("target")).alias("want")).join(got, group).select(
+            by("source"), (F.col("want") - F.col("got")).alias("left")), "mix_left")
+        fitting = of_source(given.drop("source_"), left).where(
             (F.col("whole") < rule.max_rate) & (F.col("priority").isNotNull())
             & F.when(F.col("left") > 0, extra == 0).otherwise(extra == 1)
             & (F.col("size") < 2 * F.abs("left")))
@@ -212,7 +205,7 @@ def copy_parts(sized: DataFrame, rates: DataFrame, rule: Balance) -> DataFrame:
     """``sized`` with the whole part of its rate and its priority for one more."""
     own = rates.select(F.col("source").alias("source_"), F.col("multiplier").alias("multiplier_"))
     rate = F.least(F.lit(float(rule.max_rate)), F.col("prior") * F.exp("multiplier_"))
-    return sized.join(own, F.col("source").eqNullSafe(F.col("source_"))).withColumn(
+    return of_source(sized, own).withColumn(
         "rate", rate).withColumn("whole", F.floor("rate").cast("long")).withColumn(
         "priority", priority(F.col("key"), F.col("rate") - F.col("whole"))).drop(
         "source_", "multiplier_")
@@ -225,12 +218,9 @@ def extra_copies() -> Column:
     return takes.cast("long")
 
 
-def small_side(table: DataFrame) -> DataFrame:
-    """A table with a row per source: stored, and broadcast up to a checked number
-    of rows, so that texts are not shuffled by source; beyond it Spark joins as it
-    sees fit and splits a hot source."""
-    table = stored(table, "mix_small")
-    return F.broadcast(table) if table.count() <= MOST_BROADCAST_SOURCES else table
+def of_source(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows beside what a stored table, a row per ``source_``, says of their source."""
+    return join_few(rows, table, "source", "source_", F.col("key"))
 
 
 def document_key() -> Column:
@@ -260,7 +250,7 @@ def plan(
     rounding = rounded(sized, stored(rates, "mix_rates"), rule)
     decided = targets.select(F.col("source").alias("source_"), "tokens").join(
         rounding, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
-    return sized, decided
+    return sized, stored(decided, "mix_plan")
 
 
 def mixed_sizes(
@@ -270,8 +260,7 @@ def mixed_sizes(
     sized, decided = plan(docs, weights, rule)
     own = decided.withColumnsRenamed({"source": "source_", "multiplier": "multiplier_of"})
     rates = decided.select("source", "multiplier")
-    joined = copy_parts(sized, rates, rule).join(
-        own, F.col("source").eqNullSafe(F.col("source_")))
+    joined = of_source(copy_parts(sized, rates, rule), own)
     return joined.select(
         "doc_id", "size", F.col("tokens").alias("source_size"), "target",
         (F.col("whole") + extra_copies()).alias("copies"))
@@ -285,9 +274,12 @@ def with_copies(
     A map over the documents while the sources are few enough to broadcast.
     """
     name = fresh(docs, "plan_of_source")
-    decided = small_side(plan(docs, weights, rule)[1].select(F.struct("*").alias(name)))
+    source, of_plan = fresh(docs, "source_text"), fresh(docs, "source_of_plan")
+    decided = plan(docs, weights, rule)[1].select(
+        F.struct("*").alias(name), F.col("source").alias(of_plan))
     fraction = F.least(F.lit(float(rule.max_rate)), F.exp(f"{name}.multiplier"))
-    joined = docs.join(decided, docs["source"].cast("string").eqNullSafe(F.col(f"{name}.source")))
+    joined = join_few(docs.withColumn(source, docs["source"].cast("string")), decided, source, of_plan,
+                      document_key()).drop(source, of_plan)
     own = F.struct(
         document_key().alias("key"), word_count(text_or_empty()).alias("size"),
         F.floor(fraction).cast("long").alias("whole"),
