@@ -4,8 +4,10 @@ One pass measures every whole text with built-in expressions. The measures are
 summarised in mergeable quantile sketches: counts per bucket, where a bucket
 keeps the ten leading bits of an integer measure (relative error below 1/512).
 Sketches of a group merge by adding counts, so a small group takes the sketch of
-its language, and a small language that of all rows. The fences that follow from
-the quartiles replace fixed cutoffs; rows are filtered by a join with them.
+its language, and a small language that of all rows. Fences that follow from the
+median and the outer tenths of a group replace fixed cutoffs; rows are filtered by
+a join with them. A spread is never below one bucket, which only keeps a group whose
+tenth equals its median from losing rows that differ by less than the sketch resolves.
 
 Defined results: NULL and empty texts have no words and fail the base rules;
 NULL language and source are groups of their own; repeated rows count as often
@@ -15,7 +17,7 @@ are not read, whatever their names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,14 +30,15 @@ LEADING_BITS = 10
 
 @dataclass(frozen=True)
 class Fences:
-    """Fences lie ``reach`` spreads outside the quartiles; a spread is the
-    interquartile distance, but at least ``floor`` of the measure's own units."""
+    """A fence lies ``reach`` spreads outside an outer tenth; the spread of a side is
+    the distance of its tenth from the median, but at least one bucket."""
 
     reach: int = 3
     min_rows: int = 200
-    #: Measures in thousandths, and the least spread of each.
-    floor: dict = field(default_factory=lambda: {
-        "word_length": 1000, "symbol_share": 60, "duplicate_line_share": 150, "repeat_share": 100})
+
+
+#: Judged measures; all in thousandths.
+MEASURES = ("word_length", "symbol_share", "duplicate_line_share", "repeat_share")
 
 
 def repeated_words(words: Column) -> Column:
@@ -124,11 +127,15 @@ def scaled() -> dict[str, Column]:
     }
 
 
+def bucket_width(value: Column) -> Column:
+    """How many values share the bucket of a value."""
+    width = F.length(F.bin(value))
+    return F.pow(F.lit(2.0), F.greatest(width - LEADING_BITS, F.lit(0))).cast("long")
+
+
 def bucket(value: Column) -> Column:
     """The value with all but its leading ten bits set to zero."""
-    width = F.length(F.bin(value))
-    unit = F.pow(F.lit(2.0), F.greatest(width - LEADING_BITS, F.lit(0))).cast("long")
-    return value - F.pmod(value, unit)
+    return value - F.pmod(value, bucket_width(value))
 
 
 def sketches(measured: DataFrame, by: list[str]) -> DataFrame:
@@ -146,18 +153,22 @@ def merged(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """(by, measure, rows, q1, q3): the buckets where the cumulated count passes
-    a quarter and three quarters. A window holds one group's buckets, of which
-    there are at most some thousands however many rows they count."""
+#: Quantiles that fences follow from, in tenths of the rows.
+TENTHS = {"first": 1, "middle": 5, "last": 9}
+
+
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """(by, measure, rows, first, middle, last): the buckets where the cumulated count
+    passes a tenth, a half and nine tenths. A window holds one group's buckets, of
+    which there are at most some thousands however many rows they count."""
     group = Window.partitionBy(*by, "measure")
     upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     placed = sketch.withColumns({
         "seen": F.sum("n").over(upto), "rows": F.sum("n").over(group)})
     return placed.groupBy(*by, "measure").agg(
         F.max("rows").alias("rows"),
-        F.min(F.when(4 * F.col("seen") >= F.col("rows"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("seen") >= 3 * F.col("rows"), F.col("bucket"))).alias("q3"))
+        *[F.min(F.when(10 * F.col("seen") >= tenths * F.col("rows"), F.col("bucket"))).alias(name)
+          for name, tenths in TENTHS.items()])
 
 
 def thresholds(measured: DataFrame, fences: Fences = Fences()) -> DataFrame:
@@ -165,29 +176,27 @@ def thresholds(measured: DataFrame, fences: Fences = Fences()) -> DataFrame:
     from that of its language or of all rows where it has too few rows."""
     fine = stored(sketches(measured, ["lang", "source"]), "quality_sketches")
     wide = merged(fine, ["lang"])
-    own = quartiles(fine, ["lang", "source"])
-    of_lang = quartiles(wide, ["lang"]).select(
-        "lang", "measure", *[F.col(c).alias(f"lang_{c}") for c in ("rows", "q1", "q3")])
-    of_all = quartiles(merged(wide, []), []).select(
-        "measure", *[F.col(c).alias(f"all_{c}") for c in ("q1", "q3")])
+    own = quantiles(fine, ["lang", "source"])
+    of_lang = quantiles(wide, ["lang"]).select(
+        "lang", "measure", *[F.col(c).alias(f"lang_{c}") for c in ("rows", *TENTHS)])
+    of_all = quantiles(merged(wide, []), []).select(
+        "measure", *[F.col(c).alias(f"all_{c}") for c in TENTHS])
     enough, lang_enough = F.col("rows") >= fences.min_rows, F.col("lang_rows") >= fences.min_rows
-
-    def pick(q):
-        return F.when(enough, F.col(q)).when(lang_enough, F.col(f"lang_{q}")).otherwise(
-            F.col(f"all_{q}"))
-
     joined = own.join(
         of_lang.withColumnRenamed("lang", "lang_").withColumnRenamed("measure", "measure_"),
         F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_"))
     ).drop("measure_").join(of_all, "measure")
-    floors = F.create_map(*[x for k, v in fences.floor.items() for x in (F.lit(k), F.lit(v))])
-    spread = F.greatest(pick("q3") - pick("q1"), floors[F.col("measure")].cast("long"))
-    bounds = joined.select("lang", "source", "measure",
-                           (pick("q1") - fences.reach * spread).alias("low"),
-                           (pick("q3") + fences.reach * spread).alias("high"))
+    picked = joined.select("lang", "source", "measure", *[
+        F.when(enough, F.col(q)).when(lang_enough, F.col(f"lang_{q}")).otherwise(F.col(f"all_{q}"))
+        .alias(q) for q in TENTHS])
+    below = F.greatest(F.col("middle") - F.col("first"), bucket_width(F.col("first")))
+    above = F.greatest(F.col("last") - F.col("middle"), bucket_width(F.col("last")))
+    bounds = picked.select("lang", "source", "measure",
+                           (F.col("first") - fences.reach * below).alias("low"),
+                           (F.col("last") + fences.reach * above).alias("high"))
     return bounds.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{side}_{name}")
-        for name in fences.floor for side in ("low", "high")])
+        for name in MEASURES for side in ("low", "high")])
 
 
 def judge(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:

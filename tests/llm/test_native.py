@@ -1,5 +1,6 @@
 """Secret scan, quality rules, URL filter and chat formatting beside plain Python."""
 
+import random
 from collections import defaultdict
 
 import pytest
@@ -82,6 +83,42 @@ def test_adaptive_fences_follow_each_group(spark):
     assert not kept[5000] and all(v for k, v in kept.items() if k != 5000)
 
 
+def test_groups_with_few_and_many_symbols_get_fences_of_their_own(spark):
+    """1 % of the characters of one source are symbols, 10 % of the other; each loses what
+    is far from its own rows, and only that."""
+    def text(i, per_mille):
+        n = per_mille * 1000 // (1000 - per_mille) + i % 3
+        return " ".join([f"w{k:03d}word{k * i % 7}" for k in range(111)]) + " " + "#" * n
+
+    rows = [(i, text(i, 10), "en", "plain") for i in range(400)]
+    rows += [(1000 + i, text(i, 100), "en", "code") for i in range(400)]
+    rows += [(5000, text(1, 60), "en", "plain"), (5001, text(1, 60), "en", "code"), (5002, text(1, 300), "en", "code")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    limits = {r["source"]: r for r in quality.thresholds(quality.measures(docs)).collect()}
+    assert limits["plain"]["high_symbol_share"] < 30 < 80 < limits["code"]["low_symbol_share"]
+    assert 100 < limits["code"]["high_symbol_share"] < 150
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert not any(kept[i] for i in (5000, 5001, 5002))
+    assert all(v for k, v in kept.items() if k < 5000)
+
+
+def test_fences_equal_plain_quantiles(spark):
+    """Every fence from the sorted values of its group, to the width of a bucket."""
+    rng = random.Random(3)
+    measured = [(i, "en", f"s{i % 3}", 100, rng.randint(300, 900), rng.randint(0, 40), rng.randint(0, 5), 20,
+                 rng.randint(0, 30)) for i in range(3000)]
+    df = spark.createDataFrame(measured, "doc_id long, lang string, source string, n_words long, word_chars long,"
+                               "n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long")
+    for r in quality.thresholds(df).collect():
+        mine = [m for m in measured if m[2] == r["source"]]
+        for name, values in (("word_length", sorted(1000 * m[4] // m[3] for m in mine)),
+                             ("symbol_share", sorted(1000 * m[5] // m[4] for m in mine))):
+            first, middle, last = (values[-(-len(values) * t // 10) - 1] for t in (1, 5, 9))
+            slack = 7 * max(1, last // 512)
+            assert abs(r[f"low_{name}"] - (first - 3 * max(middle - first, 1))) <= slack
+            assert abs(r[f"high_{name}"] - (last + 3 * max(last - middle, 1))) <= slack
+
+
 URLS = [
     None, "", "example.org/es/", "http://EXAMPLE.org/es/x?y", "https://a.example.org/en/17#t",
     "https://a.example.org/en/2", "http://xexample.org/es/1", "http://org", "http://org/",
