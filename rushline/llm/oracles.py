@@ -6,7 +6,7 @@ toxicity (a classifier) and the pipeline; tests compare those with plain version
 
 from __future__ import annotations
 
-from rushline.llm import credentials, jaccard, lines, quality, urls
+from rushline.llm import credentials, jaccard, urls
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -113,43 +113,61 @@ least_id as (select x, min(y) as y from reach group by x)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(least_id.y, d.doc_id)) as component_id
 from d left join n using (doc_id) left join least_id on least_id.x = d.doc_id"""
 
-SPREAD = lines.Spread()
 TRIM = "trim({}, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+# A quarter of the sites, four at least, lines of 50 words by texts, rows of more than half
+# such words, links of 4-word shingles at 85 %: stated here, not taken from the operator.
 LINES = f"""
 with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t,
     string_split(coalesce(text, ''), chr(10)) as ls from documents),
-l as (select r, source, i, {TRIM.format('ls[i]')} as line
+l as (select r, source, t, i, {TRIM.format('ls[i]')} as line
   from (select *, unnest(generate_series(1, len(ls))) as i from d) where {TRIM.format('ls[i]')} <> ''),
+least_ as (select greatest(4, ceil((count(distinct source) + max((source is null)::int)) * 0.25)) as n from d),
 b as (select line from l group by line
-  having count(distinct source) + max((source is null)::int) >= {SPREAD.min_sites}),
+  having case when len({words('line')}) >= 50 then count(distinct t)
+    else count(distinct source) + max((source is null)::int) end >= (select n from least_)),
 f as (select r, list(i) as hits, count(*) as n, sum(len({words('line')})) as w from l semi join b using (line) group by r),
-j as (select d.*, coalesce(n, 0) as n_flagged, case when 100 * w <= {SPREAD.most_percent} * len({words('t')})
-    then hits else [] end as gone from d left join f using (r)),
-k as (select *, case when len(gone) > 0 then array_to_string(
+c as (select r, t, {words(f"translate(t, '{UPPER}', '{LOWER}')")} as w from d join f using (r)
+  where 100 * f.w > 50 * len({words('t')})),
+s as (select distinct r, unnest(case when len(w) >= 4
+    then [array_to_string(w[i:i + 3], ' ') for i in generate_series(1, len(w) - 3)]
+    else [len(w) || ' ' || array_to_string(w, ' ')] end) as g from c),
+k as (select r, count(*) as n from s group by r),
+linked as (select x as r from (select a.r as x, b.r as y, count(*) as common from s a join s b
+      on a.g = b.g and a.r <> b.r group by a.r, b.r) p
+    join k kx on kx.r = x join k ky on ky.r = y where 100 * common >= 85 * (kx.n + ky.n - common)
+  union select a.r from c a join c b on a.t = b.t and a.r <> b.r),
+j as (select d.*, coalesce(n, 0) as n_flagged, case when hits is null or linked.r is not null
+    then [] else hits end as gone from d left join f using (r) left join linked using (r)),
+kept as (select *, case when len(gone) > 0 then array_to_string(
     [ls[i] for i in generate_series(1, len(ls)) if not list_contains(gone, i)], chr(10)) else t end as kept from j)
 select doc_id, len([x for x in ls if {TRIM.format('x')} <> ''])::bigint as n_lines, n_flagged,
-  coalesce(len(gone), 0)::bigint as n_removed, len(kept)::bigint as n_chars, sha256(kept) as text_sha256 from k"""
+  coalesce(len(gone), 0)::bigint as n_removed, len(kept)::bigint as n_chars, sha256(kept) as text_sha256 from kept"""
 
-FENCES = quality.Fences()
+# Reach 3, groups of 200 rows, ten leading bits: stated here, not taken from the operator.
 MEASURES = {
     "word_length": ("word_chars", "n_words"), "symbol_share": ("n_symbols", "word_chars"),
     "duplicate_line_share": ("n_dup_lines", "n_lines"), "repeat_share": ("n_repeat_words", "n_words"),
 }
 LONG = " union all ".join(
-    f"select r, lang, source, '{name}' as measure, {FENCES.floor[name]} as least, "
+    f"select r, lang, source, '{name}' as measure, "
     f"case when {b} > 0 then (1000 * {a}) // {b} else 0 end as v from m"
     for name, (a, b) in MEASURES.items())
 
 
-def _quartiles(name: str, by: str) -> str:
+def _quantiles(name: str, by: str) -> str:
     keys = f"{by}, " if by else ""
-    return f"""{name} as (select {keys}measure, max(total) as n_rows, min(b) filter (4 * seen >= total) as q1,
-    min(b) filter (4 * seen >= 3 * total) as q3 from (
+    return f"""{name} as (select {keys}measure, max(total) as n_rows, min(b) filter (10 * seen >= total) as q1,
+    min(b) filter (2 * seen >= total) as q5, min(b) filter (10 * seen >= 9 * total) as q9 from (
     select {keys}measure, b, sum(n) over (partition by {keys}measure order by b) as seen,
       sum(n) over (partition by {keys}measure) as total
     from (select {keys}measure, b, count(*) as n from x group by {keys}measure, b)) group by {keys}measure)"""
 
 
+def _own_or_wider(q: str) -> str:
+    return (f"case when own.n_rows >= 200 then own.{q} when of_lang.n_rows >= 200 then of_lang.{q} "
+            f"else of_all.{q} end as {q}")
+
+
 QUALITY = rf"""
 with d as (select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as t,
     {words("coalesce(text, '')")} as w,
@@ -165,16 +183,15 @@ m as (select d.r, doc_id, lang, source, len(w)::bigint as n_words,
     (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, len(ls)::bigint as n_lines,
     coalesce(rep.n, 0) as n_repeat_words from d left join rep using (r)),
 v as ({LONG}),
-x as (select *, v - v % (1::bigint << greatest(length(bin(v)) - {quality.LEADING_BITS}, 0)) as b from v),
-{_quartiles('own', 'lang, source')}, {_quartiles('of_lang', 'lang')}, {_quartiles('of_all', '')},
-fences as (select own.lang, own.source, measure, case when own.n_rows >= {FENCES.min_rows} then own.q1
-      when of_lang.n_rows >= {FENCES.min_rows} then of_lang.q1 else of_all.q1 end as q1,
-    case when own.n_rows >= {FENCES.min_rows} then own.q3
-      when of_lang.n_rows >= {FENCES.min_rows} then of_lang.q3 else of_all.q3 end as q3
+x as (select *, v - v % (1::bigint << greatest(length(bin(v)) - 10, 0)) as b from v),
+{_quantiles('own', 'lang, source')}, {_quantiles('of_lang', 'lang')}, {_quantiles('of_all', '')},
+picked as (select own.lang, own.source, measure, {_own_or_wider('q1')}, {_own_or_wider('q5')}, {_own_or_wider('q9')}
   from own join of_lang using (measure) join of_all using (measure)
   where own.lang is not distinct from of_lang.lang),
-verdict as (select r, bool_and(v between q1 - {FENCES.reach} * greatest(q3 - q1, least)
-    and q3 + {FENCES.reach} * greatest(q3 - q1, least)) as inside
+fences as (select lang, source, measure,
+    q1 - 3 * greatest(q5 - q1, 1::bigint << greatest(length(bin(q1)) - 10, 0)) as low,
+    q9 + 3 * greatest(q9 - q5, 1::bigint << greatest(length(bin(q9)) - 10, 0)) as high from picked),
+verdict as (select r, bool_and(v between low and high) as inside
   from v join fences on v.measure = fences.measure and v.lang is not distinct from fences.lang
     and v.source is not distinct from fences.source group by r)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -55,3 +55,40 @@ def test_run_equals_its_stages(spark, sf_dir):
     rows = result.collect()
     assert all(1 <= r["copies"] <= 3 for r in rows)
     assert len({r["doc_id"] for r in rows}) == len(rows) > 300
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, lines string"
+
+
+def awkward(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, "en", s, None if t is None else len(t), "clash", "clash") for i, t, s in rows], SCHEMA)
+
+
+def written(spark, folder, docs, sf_dir):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        table(spark, sf_dir, name).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_run_on_an_empty_table(spark, sf_dir, tmp_path):
+    result = corpus_pipeline.run(spark, written(spark, tmp_path, awkward(spark, []), sf_dir))
+    assert result.count() == 0 and result.columns[:7] == [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def test_run_on_awkward_rows(spark, sf_dir, tmp_path):
+    """NULL ids, texts and sources, repeated rows, a very long text, copies."""
+    long = " ".join(f"word{i * i % 9973}" for i in range(60_000))
+    rows = [(None, None, None), (None, "text of a row without an id", "a"), (3, "", "b"), (3, "", "b"),
+            (4, long, None), (5, long, "c"), (6, "one two three four five six", "a"),
+            (6, "one two three four five six", "a"), (7, " \n \t", "a"), (8, None, "c")]
+    rows += [(100 + i, f"some text of document {i} with words of its own {i * 7} and {i * 11}", f"s{i % 4}")
+             for i in range(40)]
+    result = corpus_pipeline.run(spark, written(spark, tmp_path, awkward(spark, rows), sf_dir)).collect()
+    kept = [r["doc_id"] for r in result]
+    assert set(kept) <= {r[0] for r in rows}
+    assert not {4, 5} <= set(kept) and kept.count(6) <= 1
+    assert {r["score"] for r in result} <= {"clash"} and all(1 <= r["copies"] <= 3 for r in result)
+    texts = {r[0]: r[1] for r in rows}
+    assert all(r["text"] == texts[r["doc_id"]] for r in result if r["doc_id"] is not None and r["doc_id"] >= 100)

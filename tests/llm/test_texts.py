@@ -2,9 +2,12 @@
 beside plain Python, on small and awkward tables."""
 
 import random
+import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -14,6 +17,7 @@ from rushline.llm import decontam, jaccard, lines, mixing, tokens, toxicity
 from tests.llm import brute
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+PIECES = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 DOCS = "doc_id long, text string, source string, found string, n_chars long, row string"
 
 
@@ -80,6 +84,36 @@ def test_cache_starts_anew_and_counts_stay_right(monkeypatch):
     assert len(lengths) <= 11 and lengths.additive
 
 
+def held_tables(spark):
+    """Sizes of the first tier in every worker that has one, and of its query's names."""
+    def look(batches):
+        for _ in batches:
+            yield pd.DataFrame({"size": [len(x.frequent) for x in tokens._WORKER.values()]}, dtype="int64")
+
+    return {r["size"] for r in spark.range(64).repartition(16).mapInPandas(look, "size long").collect()}
+
+
+def test_first_tier_is_that_of_the_query(spark):
+    """Reused workers look up in the table of the query they run, not in an earlier one's."""
+    for words in (30, 170):
+        rows = [(i, " ".join(f"t{words}x{(i + j) % words}" for j in range(40)), "s", "", 1, "")
+                for i in range(400)]
+        docs = make(spark, rows).repartition(8)
+        table = tokens.frequent_lengths(docs, MODEL)
+        assert len(table) == words
+        assert tokens.count_tokens(docs, MODEL).agg(F.sum("n_tokens")).first()[0] == sum(
+            len(PIECES.encode(r[1])) for r in rows)
+        assert held_tables(spark) == {words}
+
+
+def test_first_tier_samples_every_partition(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "SAMPLE_ROWS", 100)
+    rows = [(i, f"part{i // 250} common", "s", "", 1, "") for i in range(1000)]
+    docs = make(spark, rows).repartition(8, "text")
+    assert {f" part{k}" for k in range(4)} < set(tokens.frequent_lengths(docs, MODEL))
+    assert tokens.frequent_lengths(docs.limit(0), MODEL) == {}
+
+
 # -- mixing --------------------------------------------------------------------
 
 def mix_rows(rng):
@@ -181,41 +215,167 @@ def test_the_negative_risk_is_not_driven_below_zero():
     """Without the correction, positives learnt by heart make clean texts of the
     same vocabulary look negative without bound; scores must stay near the prior."""
     rng = random.Random(1)
-    texts = [{b"w%d" % rng.randrange(50) for _ in range(8)} for _ in range(200)]
+    texts = [sorted({rng.randrange(50) for _ in range(8)}) for _ in range(200)]
     positive = np.array([i < 40 for i in range(200)])
-    weights, bias = toxicity.nnpu_fit(texts, positive, 0.2, toxicity.Training(steps=200))
-    logits = [bias + sum(weights.get(w, 0) for w in t) for t in texts[40:]]
+    weights = toxicity.nnpu_fit(texts, positive, 50, 0.2, toxicity.Training(steps=200))
+    sums = np.array([weights[t].sum() for t in texts])
+    logits = sums[40:] + toxicity.prior_bias(sums[40:], np.ones(160), 0.2)
     assert -8 < np.mean(logits) < 2
+    assert toxicity.nnpu_fit(texts, np.ones(200, bool), 50, 0.2, toxicity.Training()) is None
+
+
+def dense_risk(weight, bias, matrix, positive, prior):
+    """The risk from a dense matrix, term by term."""
+    z = matrix @ weight + bias
+    as_positive, as_negative = np.log1p(np.exp(-z)), np.log1p(np.exp(z))
+    bracket = as_negative[~positive].mean() - prior * as_negative[positive].mean()
+    return prior * as_positive[positive].mean() + max(0.0, bracket), bracket
+
+
+@pytest.mark.parametrize("scale", [0.3, 6.0])
+def test_risk_and_gradient_equal_a_dense_version(scale):
+    rng = np.random.default_rng(int(scale * 10))
+    matrix = (rng.random((60, 9)) < 0.3).astype(float)
+    positive = rng.random(60) < 0.4
+    matrix[positive, 0] = 1
+    row, column = np.nonzero(matrix)
+    weight, bias, prior = rng.normal(size=9) * scale, -0.5, 0.45
+    weight[0] = scale
+    shares = positive / positive.sum(), ~positive / (~positive).sum()
+
+    def ours(w, b):
+        return toxicity.risk_and_slope(w, b, row, column, 60, *shares, prior)
+
+    risk, slope = ours(weight, bias)
+    wanted, bracket = dense_risk(weight, bias, matrix, positive, prior)
+    assert risk == pytest.approx(wanted)
+    step = 1e-6
+    for i in range(10):
+        move = np.eye(10)[i] * step
+        up, down = (dense_risk(weight + m[:9], bias + m[9], matrix, positive, prior) for m in (move, -move))
+        # where the bracket is below zero, the slope leads out of it, not down the risk
+        numeric = (up[0] - down[0] if bracket >= 0 else down[1] - up[1]) / (2 * step)
+        assert slope[i] == pytest.approx(numeric, abs=1e-5)
+
+
+def plain_slots(text):
+    """The slots of a text, one feature and one byte after the other."""
+    def mixed(x):
+        x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        return (x ^ x >> 29) >> 64 - toxicity.SLOT_BITS
+
+    out = set()
+    for word in set(re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())):
+        power, whole, part = 1, 0, 0
+        for k, byte in enumerate(word):
+            power = power * 0x9E3779B97F4A7C15 % (1 << 64)
+            whole += (byte + 1) * power
+            if k < 8:
+                part = (part ^ byte + 1) * 0xD6E8FEB86659FD93 % (1 << 64)
+                part ^= part >> 32
+                if k + 1 in toxicity.PREFIXES and len(word) > k + 1:
+                    out.add(mixed((part + k) % (1 << 64)))
+        out.add(mixed(whole % (1 << 64)))
+    return sorted(out)
+
+
+def test_slots_of_whole_texts():
+    texts = ["One two ONE", "", " \n", "Éa éa x9", "l" * 5, "longword " * 3000 + "end", None, "a" * 300_000]
+    text, slot = toxicity.text_slots([(t or "").encode() for t in texts])
+    for i, t in enumerate(texts):
+        assert slot[text == i].tolist() == plain_slots(t)
+    keep = np.array(plain_slots("one longword end"))
+    lists = toxicity.slot_lists(texts, keep)
+    assert [keep[x].tolist() for x in lists] == [
+        [s for s in plain_slots(t) if s in set(keep.tolist())] for t in texts]
+    assert toxicity.slot_lists([], keep) == []
+
+
+def test_vocabulary_counts_every_training_text(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 500)
+    rng = random.Random(4)
+    rows = [(i % 5 == 0, " ".join(f"w{int(rng.random() ** 2 * 60)}" for _ in range(30)) + " bad" * (i % 5 == 0))
+            for i in range(400)]
+    positive = defaultdict(int)
+    every = defaultdict(int)
+    for flag, text in rows:
+        for s in plain_slots(text):
+            every[s] += 1
+            positive[s] += flag
+    settings = toxicity.Training(vocabulary=20, min_contrast=1.0)
+    strength = {s: abs(toxicity.contrast(positive[s], n, 80, 400)) for s, n in every.items()}
+    wanted = sorted((-z, s) for s, z in strength.items() if z >= 1.0 and every[s] + positive[s] >= 3)[:20]
+    df = spark.createDataFrame(rows, "positive boolean, text string").select(
+        "positive", F.col("text").cast("binary").alias("text")).repartition(5)
+    assert toxicity.vocabulary_of(df, 80, 400, settings) == sorted(s for _, s in wanted)
+
+
+def test_few_positives_and_lean_sample(spark):
+    """One to three positives among 400 texts: parts without one do not count."""
+    for n in (1, 2, 3):
+        rows = [(i, f"zonk w{i % 7} w{i % 11}" if i < n * 4 else f"w{i % 7} w{i % 11}", "s", "", 1, "")
+                for i in range(400)]
+        ids = [i for i in range(n * 4) if zlib.crc32(str(i).encode()) % 4 != 2][:n]
+        labels = [(i, 1) for i in ids] + [(i, 0) for i in range(20, 400) if i % 2]
+        docs, frame = make(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+        model = toxicity.train(docs, frame)
+        assert model is not None and -15 < model.bias < 5
+        known, _ = toxicity.training_rows(docs, frame, toxicity.Training())
+        lean = toxicity.fit_rows(known, [1, 2], toxicity.Training())
+        assert lean.columns == ["part", "doc_id", "positive", "words"]
+        assert lean.schema["words"].dataType.simpleString() == "array<int>"
 
 
 # -- line dedup -----------------------------------------------------------------
 
+def linked(a, b):
+    """Whether two texts are equal or share 85 % of their 4-word shingles."""
+    def shingles(text):
+        w = brute.WORD.findall(brute.lower(text))
+        return {tuple(w[i:i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} - {()}
+
+    x, y = shingles(a), shingles(b)
+    return a == b or bool(x and y) and 100 * len(x & y) >= 85 * len(x | y)
+
+
 def plain_lines(rows, rule):
-    sites, words = defaultdict(set), {}
+    def trimmed(line):
+        return line.strip(" \t\n\x0b\x0c\r")
+
+    places, words = defaultdict(set), {}
     for _, text, site, *_ in rows:
         for line in (text or "").split("\n"):
             if brute.WORD.search(line):
-                key = line.strip(" \t\n\x0b\x0c\r")
-                sites[key].add(site)
+                key = trimmed(line)
                 words[key] = len(brute.WORD.findall(key))
-    common = {k for k, s in sites.items() if len(s) >= rule.min_sites}
-    out = []
-    for doc, text, site, *_ in rows:
+                places[key].add(text if words[key] >= rule.long_words else site)
+    least = max(rule.least, -(-len({r[2] for r in rows}) * rule.percent // 100))
+    common = {k for k, s in places.items() if len(s) >= least}
+    marked = []
+    for doc, text, *_ in rows:
         parts = (text or "").split("\n")
-        hit = [i for i, x in enumerate(parts) if x.strip(" \t\n\x0b\x0c\r") in common]
-        share = sum(words[parts[i].strip(" \t\n\x0b\x0c\r")] for i in hit)
-        if 100 * share > rule.most_percent * len(brute.WORD.findall(text or "")):
-            gone = []
-        else:
-            gone = hit
+        hit = [i for i, x in enumerate(parts) if trimmed(x) in common]
+        share = sum(words[trimmed(parts[i])] for i in hit)
+        marked.append((doc, text, parts, hit, 100 * share > rule.mostly_percent * len(
+            brute.WORD.findall(text or ""))))
+    out = []
+    for at, (doc, text, parts, hit, mostly) in enumerate(marked):
+        copy = mostly and any(
+            m and k != at and linked(text, t) for k, (_, t, _, _, m) in enumerate(marked))
+        gone = [] if copy else hit
         kept = "\n".join(x for i, x in enumerate(parts) if i not in gone)
         out.append((repr(doc), None if text is None else kept, len(hit), len(gone)))
     return sorted(out, key=repr)
 
 
+def cleaned(spark, rows, rule=lines.Spread()):
+    got = lines.clean(make(spark, rows), F.col("source"), rule, into="done").collect()
+    return got, sorted(((repr(r["doc_id"]), r["text"], r["done"]["n_flagged"], r["done"]["n_removed"])
+                        for r in got), key=repr)
+
+
 def test_lines_equal_brute_force(spark):
     rng = random.Random(4)
-    rule = lines.Spread(min_sites=4)
     rows = []
     for i in range(300):
         body = [f"own line {i} {k} of some length" for k in range(rng.randint(0, 6))]
@@ -223,20 +383,43 @@ def test_lines_equal_brute_force(spark):
         rng.shuffle(body)
         rows.append((i, "\n".join(body), f"site{rng.randrange(6)}", "x", 7, "y"))
     rows += [(400, None, None, "", None, ""), (401, "", "s", "", 0, ""), rows[3], rows[3],
-             (402, "shared 1 menu", "new", "", 13, ""), (None, "shared 1 menu\nown words here now", None, "", 1, "")]
-    got = lines.clean(make(spark, rows), F.col("source"), rule, into="done").collect()
-    found = sorted(((repr(r["doc_id"]), r["text"], r["done"]["n_flagged"], r["done"]["n_removed"])
-                    for r in got), key=repr)
-    assert found == plain_lines(rows, rule)
-    for r in got:
-        assert r["found"] in ("x", "") and (r["done"]["n_removed"] == 0 or r["n_chars"] == len(r["text"]))
+             (402, "shared 1 menu", "new", "", 13, ""), (None, "shared 1 menu\nown words here now", None, "", 1, ""),
+             (403, "shared 2 menu\n" + "very long " * 60_000, "s", "", 1, "")]
+    for rule in (lines.Spread(), lines.Spread(percent=60), lines.Spread(least=7, percent=1)):
+        got, found = cleaned(spark, rows, rule)
+        assert found == plain_lines(rows, rule)
+        for r in got:
+            assert r["found"] in ("x", "") and (r["done"]["n_removed"] == 0 or r["n_chars"] == len(r["text"]))
 
 
 def test_far_above_the_band_needs_no_exact_count(spark):
-    rows = [(i, f"everywhere in all places\nonly here {i} and some more words", f"s{i}", "", 1, "")
+    rows = [(i, f"everywhere in all places\nonly here {i} and some more words", f"s{i % 40}", "", 1, "")
             for i in range(120)]
-    got = lines.clean(make(spark, rows), F.col("source"), lines.Spread(min_sites=4)).collect()
-    assert all(r["lines"]["n_removed"] == 1 for r in got)
+    got, _ = cleaned(spark, rows, lines.Spread(percent=1))
+    assert all(r["done"]["n_removed"] == 1 for r in got)
+
+
+def test_the_threshold_follows_the_corpus(spark):
+    """A line on 8 of 16 sites goes, on 8 of 40 it stays."""
+    for sites, gone in ((16, 1), (40, 0)):
+        rows = [(i, (f"menu home about\n" if i < 8 else "") + f"text {i} of one site only", f"s{i}", "", 1, "")
+                for i in range(sites)]
+        got, found = cleaned(spark, rows)
+        assert found == plain_lines(rows, lines.Spread())
+        assert {r["done"]["n_removed"] for r in got if r["doc_id"] < 8} == {gone}
+
+
+def test_a_long_passage_goes_from_texts_that_are_no_copies(spark):
+    """60 of 90 words are a shared passage, on one hot site as on many."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, passage + "\n" + " ".join(f"own{i}x{j}" for j in range(30)), "hot", "", 1, "") for i in range(9)]
+    rows += [(100 + i, f"other text {i} " * 9, f"s{i}", "", 1, "") for i in range(12)]
+    got, found = cleaned(spark, rows)
+    assert found == plain_lines(rows, lines.Spread())
+    assert all(r["text"].startswith("own") and r["done"]["n_removed"] == 1 for r in got if r["doc_id"] < 9)
+    # the same passage in equal copies of one text counts once
+    rows = [(i, rows[0][1], f"s{i}", "", 1, "") for i in range(9)] + rows[9:]
+    assert {r["done"]["n_flagged"] for r in cleaned(spark, rows)[0] if r["doc_id"] < 9} == {1}
 
 
 def test_only_copies_keep_widespread_lines(spark):
@@ -247,13 +430,16 @@ def test_only_copies_keep_widespread_lines(spark):
     # Copies of a whole text on as many sites, one line of each edited.
     rows += [(100 + i, "\n".join([*story, f"edited {i}"]), f"s{i}", "", 1, "") for i in range(6)]
     rows += [(200, shared, "s0", "", 1, ""), (None, f"{shared}\n{own[None]}", None, "", 1, "")]
-    rule = lines.Spread(min_sites=4, only_copies=True)
-    got = {r["doc_id"]: (r["text"], r["lines"]["n_removed"]) for r in lines.clean(
-        make(spark, rows), F.col("source"), rule).collect()}
-    for i in range(6):
-        assert got[i] == (own[i], 1)
-        assert got[100 + i] == (rows[6 + i][1], 0)
-    assert got[200] == ("", 1) and got[None] == (own[None], 1)
+    got, found = cleaned(spark, rows)
+    assert found == plain_lines(rows, lines.Spread())
+    for r in got:
+        i = r["doc_id"]
+        if i is None or i < 6:
+            assert (r["text"], r["done"]["n_removed"]) == (own[i], 1)
+        elif i < 200:
+            assert r["text"] == rows[6 + i - 100][1]
+        else:
+            assert (r["text"], r["done"]["n_removed"]) == ("", 1)
 
 
 # -- Jaccard join -----------------------------------------------------------------
