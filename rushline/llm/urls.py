@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rushline.llm.common import ascii_lower, lambda_range, let, stored
+from rushline.llm.common import ascii_lower, join_few, lambda_range, let, stored
 
 RULE_SCHEMA = "rule_host string, rule_path string, rule_verdict string"
 
@@ -156,8 +156,9 @@ def judge(
         "url_pages")
     named = parsed.where(F.col("host") != "")
     hosts = named.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    ruled = rules_of_hosts(hosts, rules)
-    placed = parsed.join(ruled, "host", "left").select(
+    ruled = stored(rules_of_hosts(hosts, rules).withColumnRenamed("host", "host_"), "url_rules")
+    salt = F.xxhash64("page_id", "path")
+    placed = join_few(parsed, ruled, "host", "host_", salt, "left").select(
         "page_id", "host", "path", first_rule(F.col("path"), F.col("rules")).alias("hit"))
     # Seeds: each host's share of the allowed, and of the blocked pages.
     counts = placed.where(F.col("hit").isNotNull()).groupBy(
@@ -169,10 +170,11 @@ def judge(
     links = named.select(F.col("host").alias("src"), F.explode("links").alias("dst")).groupBy(
         "src", "dst").agg(F.count(F.lit(1)).alias("n"))
     links = stored(links, "url_links")
-    scores = propagate(host_graph(links), seeds, settings).groupBy("host").agg(
+    scores = stored(propagate(host_graph(links), seeds, settings).groupBy(
+        F.col("host").alias("host_")).agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("score"))).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("score"))).alias("distrust"))
-    judged = placed.join(scores, "host", "left").select(
+        F.sum(F.when(F.col("kind") == "distrust", F.col("score"))).alias("distrust")), "url_scores")
+    judged = join_few(placed, scores, "host", "host_", salt, "left").select(
         "page_id", "host", "path", F.col("hit.rule").alias("rule"),
         F.col("hit.rule_verdict").alias("ruled"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"),
