@@ -3,7 +3,8 @@
 A text falls into pre-tokens no merge of the model can cross. Their lengths are
 looked up in a compact broadcast table of frequent pre-tokens, then in a cache of
 the Python worker; what neither has is encoded by the library and cached. Nothing
-is shuffled. The broadcast table only saves work: any table gives equal counts.
+of the corpus is shuffled. The broadcast table comes from a hash sample of rows of
+all partitions; it only saves work: any table gives equal counts.
 
 Defined results: NULL and empty texts have no tokens; repeated rows are counted
 one by one; an empty table gives an empty result; other columns are kept as they
@@ -14,6 +15,7 @@ one pre-token and are encoded, but not cached, above ``LONGEST_KEY`` characters.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from rushline.llm.common import ship_package
 
-#: Bounds of the first tier: batches looked at, keys kept of each, key length.
-SAMPLE_BATCHES, KEYS_PER_BATCH, LONGEST_KEY = 5, 4096, 48
+#: Bounds of the first tier: expected rows of the sample, keys, characters of a key.
+SAMPLE_ROWS, MOST_KEYS, LONGEST_KEY = 10_000, 20_480, 48
 #: Entries of a worker's cache; it starts anew when full.
 CACHE_ENTRIES = 200_000
 #: The model writes a space as this sign, and reads the sign as a space.
@@ -85,44 +87,55 @@ def pre_tokens(text: str) -> list[str]:
     return PRE_TOKEN.findall(" " + text.replace(SPACE_SIGN, " "))
 
 
-#: One lookup per worker process and model, kept between its tasks.
+#: The lookup of a worker process, kept between the tasks of one query only: it is
+#: named by the query's own broadcast table, and the next query's takes its place.
 _WORKER: dict[str, PieceLengths] = {}
 
 
-def _lookup(model_file: str, frequent: dict[str, int]) -> PieceLengths:
-    if model_file not in _WORKER:
-        _WORKER[model_file] = PieceLengths(model_file, frequent)
-    return _WORKER[model_file]
+def _lookup(name: str, model_file: str, frequent: dict[str, int]) -> PieceLengths:
+    if name not in _WORKER:
+        _WORKER.clear()
+        _WORKER[name] = PieceLengths(model_file, frequent)
+    return _WORKER[name]
 
 
 def frequent_lengths(docs: DataFrame, model_file: str) -> dict[str, int]:
-    """Lengths of pre-tokens that are frequent in a few batches of texts.
+    """Lengths of the most frequent pre-tokens of a hash sample over all partitions.
 
-    ``take`` runs the first partitions only, so this costs the same at any size.
-    At most SAMPLE_BATCHES * KEYS_PER_BATCH keys of LONGEST_KEY characters each.
+    At most MOST_KEYS keys of LONGEST_KEY characters each. The counts that are added
+    up come from the sample, so their number does not grow with the corpus.
     """
-    def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("string").alias("of"))
+    share = min(1.0, SAMPLE_ROWS / max(docs.select(F.lit(1)).count(), 1))
+    picked = rows.where(F.pmod(F.xxhash64("of", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen = Counter()
             for text in batch["text"]:
                 seen.update(pre_tokens(text) if text else ())
-            lengths = _lookup(model_file, {})
-            keys = [k for k, n in seen.most_common(KEYS_PER_BATCH) if n > 1 and len(k) <= LONGEST_KEY]
-            yield pd.DataFrame({"keys": [keys], "n": [[lengths[k] for k in keys]]})
+            keys = [k for k in seen if len(k) <= LONGEST_KEY]
+            yield pd.DataFrame({"key": keys, "n": [seen[k] for k in keys]})
+
+    def with_lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lengths = PieceLengths(model_file, {})
+        for batch in batches:
+            yield pd.DataFrame({"key": batch["key"], "n": [lengths.length(k) for k in batch["key"]]})
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(
-        top, "keys array<string>, n array<long>").take(SAMPLE_BATCHES)
-    return {k: n for row in rows for k, n in zip(row["keys"], row["n"])}
+    top = picked.mapInPandas(counted, "key string, n long").groupBy("key").agg(
+        F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(MOST_KEYS)
+    return {r["key"]: r["n"] for r in top.mapInPandas(with_lengths, "key string, n long").collect()}
 
 
 def token_count(docs: DataFrame, model_file: str) -> Column:
     """A column expression: the number of tokens of ``text`` of these rows."""
     ship_package(docs.sparkSession)
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, model_file))
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lengths = _lookup(model_file, frequent.value)
+        lengths = _lookup(name, model_file, frequent.value)
         for texts in batches:
             yield pd.Series([lengths.count(t) if t else 0 for t in texts], dtype="int64")
 
