@@ -101,7 +101,14 @@ def boilerplate(lines: DataFrame, least: int, rule: Spread) -> DataFrame:
 
 def copies(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(keys): those of the named rows whose text another of them holds too, equal
-    or linked by the near-duplicate operator."""
+    or linked by the near-duplicate operator.
+
+    Texts are picked where they lie while the keys, 12 bytes each, are few enough to
+    broadcast; their number is counted first.
+    """
+    keys = stored(keys, "line_mostly")
+    if keys.count() <= jaccard.MOST_BROADCAST_IDS:
+        keys = F.broadcast(keys)
     rows = stored(docs.select(*row_keys(), "doc_id", F.col("text").cast("string").alias("text")).join(
         keys, list(KEYS), "left_semi"), "line_candidates")
     placed = stored(jaccard.classes(rows), "line_classes")
