@@ -27,8 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rushline.llm.common import SPACES, fresh, ship_package, stored
 
@@ -47,10 +51,10 @@ class Join:
 
     words: int = 4
     percent: int = 85
-    #: One set in so many is looked at for token frequencies.
+    #: Tokens are counted by slots over all sets. A slot is frequent from min_frequent
+    #: times sample_part sets, at least; that rises by factors of two until at most
+    #: max_frequent slots are.
     sample_part: int = 16
-    #: Sampled count from which a token is frequent, at least; it rises by factors
-    #: of two until at most max_frequent tokens are.
     min_frequent: int = 4
     max_frequent: int = 1 << 19
     slot_bits: int = 22
@@ -60,6 +64,15 @@ class Join:
     pivots: int = 3
     block: int = 512
 
+    @property
+    def slots(self) -> int:
+        return 1 << self.slot_bits
+
+    @property
+    def slices(self) -> int:
+        """Parts of the table of slots, each added up by itself."""
+        return min(64, self.slots)
+
     def required(self, n):
         """Least number of tokens shared with any linked set."""
         return -(-self.percent * n // 100)
@@ -142,59 +155,92 @@ def signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
+def slots_of(tokens: np.ndarray, rule: Join) -> np.ndarray:
+    return (tokens & np.uint64(rule.slots - 1)).astype(np.int64)
+
+
 # --------------------------------------------------------------------------
 # Sets, frequency classes, index entries
 # --------------------------------------------------------------------------
 
 def sets_of(docs: DataFrame, rule: Join) -> DataFrame:
-    """One stored row per input row: doc_id, content, n, key, bitmap, and the tokens
-    of the sampled sets."""
-    @F.pandas_udf("n long, key long, bitmap binary, sample array<long>")
-    def built(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+    """One stored row per input row: doc_id, content, n, key, bitmap. Beside them rows
+    without a key, a few a task: slice, counts, what fell into each slice of the slots.
+
+    The tokens of every set are counted where they are made, in a table of fixed size
+    a task. Copies that a task meets near each other count once.
+    """
+    kind = docs.schema["doc_id"].dataType
+    schema = T.StructType([
+        T.StructField("doc_id", kind), T.StructField("content", T.LongType()),
+        T.StructField("n", T.LongType()), T.StructField("key", T.LongType()),
+        T.StructField("bitmap", T.BinaryType()), T.StructField("slice", T.IntegerType()),
+        T.StructField("counts", T.BinaryType())])
+    arrow = to_arrow_schema(schema)
+
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = np.zeros(rule.slots, np.int32), set()
+        for batch in batches:
             rows = []
-            for text in texts:
-                tokens = token_set(text, rule.words)
-                if not len(tokens):
-                    rows.append((0, 0, b"", None))
-                    continue
-                key = set_key(tokens)
-                taken = key % rule.sample_part == 0
-                rows.append((len(tokens), key, parity_bitmap(tokens),
-                             signed(tokens) if taken else None))
-            yield pd.DataFrame(rows, columns=["n", "key", "bitmap", "sample"]).astype(
-                {"n": "int64", "key": "int64"})
+            for text in batch.column(2):
+                tokens = token_set(text.as_py(), rule.words)
+                key = set_key(tokens) if len(tokens) else 0
+                rows.append((len(tokens), key, parity_bitmap(tokens) if len(tokens) else b""))
+                if len(tokens) and key not in seen:
+                    if len(seen) >= CACHE_ENTRIES:
+                        seen.clear()
+                    seen.add(key)
+                    np.add.at(table, slots_of(tokens, rule), 1)
+            n, key, bitmap = zip(*rows) if rows else ((), (), ())
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()),
+                       pa.array(key, pa.int64()), pa.array(bitmap, pa.binary())]
+            columns += [pa.nulls(len(rows), f.type) for f in list(arrow)[5:]]
+            yield pa.RecordBatch.from_arrays(
+                [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        pack = zstandard.ZstdCompressor(level=1)
+        for i, part in enumerate(table.reshape(rule.slices, -1)):
+            if part.any():
+                yield pa.RecordBatch.from_pylist(
+                    [{"slice": i, "counts": pack.compress(part.tobytes())}], schema=arrow)
 
     text = F.col("text").cast("string")
-    return stored(docs.select(
-        "doc_id", F.xxhash64(text).alias("content"), built(text).alias("set"),
-    ).select("doc_id", "content", "set.*"), "jaccard_sets")
+    return stored(docs.select("doc_id", F.xxhash64(text).alias("content"), text.alias("text")).mapInArrow(
+        built, schema), "jaccard_sets")
 
 
-def frequency_levels(sets: DataFrame, rule: Join) -> np.ndarray:
+def frequency_levels(counts: DataFrame, rule: Join) -> np.ndarray:
     """A table of fixed size: the frequency level of the tokens of each slot.
 
-    Counted on the sampled sets, each class once. Any table gives the same links;
-    a good one keeps widely shared tokens out of the prefixes.
+    Added up from the tasks' tables (slice, counts) over all sets, by tasks that hold
+    the sums of their slices; the driver gets one byte a slot. Any table gives the same
+    links; a good one keeps widely shared tokens out of the prefixes.
     """
-    sampled = sets.where(F.col("sample").isNotNull()).groupBy("key").agg(
-        F.any_value("sample").alias("sample"))
-    counts = stored(sampled.select(F.explode("sample").alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") >= rule.min_frequent), "jaccard_frequent")
-    by_power = {r["power"]: r["n"] for r in counts.groupBy(
-        F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    least, total = 1 << 62, 0
-    for power in sorted(by_power, reverse=True):
-        total += by_power[power]
-        if total > rule.max_frequent:
-            break
-        least = 1 << power
-    table = np.zeros(1 << rule.slot_bits, np.uint8)
-    slots = counts.where(F.col("n") >= max(least, rule.min_frequent)).groupBy(
-        F.col("token").bitwiseAND(F.lit(len(table) - 1)).alias("slot")).agg(
-        F.max(F.floor(F.log2("n") / 2)).cast("int").alias("level")).toPandas()
-    table[slots["slot"].to_numpy(np.int64)] = np.maximum(slots["level"].to_numpy(np.int64), 1)
-    return table
+    def merge(batches):
+        sums: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for i, part in zip(*batch.to_pydict().values()):
+                sums[i] = sums.get(i, 0) + np.frombuffer(
+                    unpack.decompress(part), np.int32).astype(np.int64)
+        pack = zstandard.ZstdCompressor(level=1)
+        for i, total in sums.items():
+            share = total / rule.sample_part
+            # One more than the power of two, none for what is not frequent.
+            power = np.where(share >= rule.min_frequent, np.log2(np.maximum(share, 1)) + 1, 0)
+            yield pa.record_batch({"slice": pa.array([i], pa.int32()), "counts": pa.array(
+                [pack.compress(power.astype(np.uint8).tobytes())], pa.binary())})
+
+    powers = np.zeros((rule.slices, rule.slots // rule.slices), np.uint8)
+    for row in counts.repartition(rule.slices, "slice").mapInArrow(
+            merge, "slice int, counts binary").collect():
+        powers[row["slice"]] = np.frombuffer(
+            zstandard.ZstdDecompressor().decompress(row["counts"]), np.uint8)
+    powers = powers.ravel()
+    by_power = np.bincount(powers, minlength=2)
+    least = len(by_power)
+    while least > 1 and by_power[least - 1:].sum() <= rule.max_frequent:
+        least -= 1
+    return np.where(powers >= least, np.maximum((powers - (powers > 0)) // 2, 1), 0).astype(np.uint8)
 
 
 def index_keys(tokens: np.ndarray, levels: np.ndarray, rule: Join) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +253,7 @@ def index_keys(tokens: np.ndarray, levels: np.ndarray, rule: Join) -> tuple[np.n
     n = len(tokens)
     if n < 2:  # only equal sets are as similar
         return tokens[:0], tokens[:0]
-    own = levels[(tokens & np.uint64(len(levels) - 1)).astype(np.int64)]
+    own = levels[slots_of(tokens, rule)]
     common = np.flatnonzero(own)
     length = min(n, n - rule.required(n) + 2)
     rare = tokens[own == 0][:length]
@@ -453,8 +499,9 @@ def linked_sets(docs: DataFrame, rule: Join = Join()) -> tuple[DataFrame, DataFr
     """(sets, labels): the stored sets of all rows, and (id, component) of the sets
     that are linked to a different one."""
     ship_package(docs.sparkSession)
-    sets = sets_of(docs, rule)
-    levels = frequency_levels(sets, rule)
+    made = sets_of(docs, rule)
+    sets = made.where(F.col("n").isNotNull()).drop("slice", "counts")
+    levels = frequency_levels(made.where(F.col("slice").isNotNull()).select("slice", "counts"), rule)
     members = members_of(entries_of(docs, levels, rule), rule)
     maps = sets.where(F.col("n") > 0).groupBy("key").agg(
         F.any_value("n").alias("n"), F.any_value("bitmap").alias("bitmap"))

@@ -479,6 +479,19 @@ def test_components_equal_brute_force(spark, seed, rule):
         assert got[i]["n_shingles"] == len(brute.shingles(row[1]))
 
 
+def test_levels_count_every_set(spark):
+    """64 sets with a shingle make its slot frequent, 63 do not: none is left out."""
+    rule = jaccard.Join()
+    many, few = "a shingle of many", "a shingle of few"
+    rows = [(i, f"{many if i < 64 else few} w{i}", "s", "", 1, "") for i in range(127)]
+    rows += [(1000 + i, f"{few} w126", "s", "", 1, "") for i in range(3)] + [(None, None, "s", "", 1, "")]
+    made = jaccard.sets_of(make(spark, rows).coalesce(3), rule)
+    levels = jaccard.frequency_levels(made.where("slice is not null").select("slice", "counts"), rule)
+    slot = [int(jaccard.slots_of(jaccard.token_set(t, 4), rule)[0]) for t in (many, few)]
+    assert levels[slot].tolist() == [1, 0] and levels.sum() == 1
+    assert made.where("n is not null").count() == len(rows)
+
+
 def test_cross_blocks_find_every_pair(spark):
     """One bucket larger than a block, with a large component and a rest."""
     rule = jaccard.Join(block=4)
