@@ -190,7 +190,7 @@ def sets_of(docs: DataFrame, rule: Join) -> DataFrame:
                     if len(seen) >= CACHE_ENTRIES:
                         seen.clear()
                     seen.add(key)
-                    np.add.at(table, slots_of(tokens, rule), 1)
+                    np.add.at(table, slots_of(tokens, rule), np.int32(1))
             n, key, bitmap = zip(*rows) if rows else ((), (), ())
             columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()),
                        pa.array(key, pa.int64()), pa.array(bitmap, pa.binary())]
