@@ -824,7 +824,8 @@ def kept_sketches(spark, sf_dir):
     values = rows.select(F.year("l_shipdate").alias("y"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in SKETCHED]))
     ).select(F.explode(F.array("y", F.lit(0))).alias("year"), "column", "x")
-    ranked = values.join(wide, ["year", "column"]).groupBy("year", "column", "n", "lowest", "highest").agg(*[
+    # One row per year and column; by a shuffle all rows of year 0 would meet in one task.
+    ranked = values.join(F.broadcast(wide), ["year", "column"]).groupBy("year", "column", "n", "lowest", "highest").agg(*[
         x for i in range(len(QUANTILE_PROBS))
         for x in (F.count_if(F.col("x") < F.col(f"v{i}")).alias(f"lt{i}"),
                   F.count_if(F.col("x") <= F.col(f"v{i}")).alias(f"le{i}"))])

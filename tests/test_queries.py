@@ -49,3 +49,13 @@ def test_plan_has_no_nested_loop_and_no_python(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition, R"):
         assert unwanted not in plan
+
+
+def test_kept_sketches_shuffle_no_values(spark, sf_dir):
+    """However large the sketches are thought to be, their quantiles go to the rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["kept_sketches"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
