@@ -18,19 +18,26 @@ def confusion(
     label: str = "label",
     prediction: str = "prediction",
     n_classes: int = len(LEVEL_INDEX),
+    weight: str | None = None,
 ) -> DataFrame:
     """Dense (label, prediction, n), zeros included, from a single pass.
 
     Every cell is its own conditional count, so one task output row holds the
     whole matrix and there is no grid to join. Rows without a prediction are
-    in no cell.
+    in no cell. ``weight`` says how many rows a row stands for.
     """
     classes = range(n_classes)
+
+    def counted(cell):
+        if weight is None:
+            return F.count_if(cell)
+        return F.coalesce(F.sum(F.when(cell, F.col(weight).cast("bigint"))), F.lit(0).cast("bigint"))
+
     cells = F.array(*[
         F.struct(
             F.lit(i).alias("label"),
             F.lit(j).alias("prediction"),
-            F.count_if((F.col(label) == i) & (F.col(prediction) == j)).alias("n"),
+            counted((F.col(label) == i) & (F.col(prediction) == j)).alias("n"),
         )
         for i in classes for j in classes
     ])

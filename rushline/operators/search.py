@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rushline.operators import evaluation as ev
-from rushline.operators.training import Candidate
+from rushline.operators.training import WEIGHT, Candidate, weighted
 from rushline.sinks import KeyedTable, scratch_uri
 from rushline.spec import ModelSettings
 
@@ -59,7 +59,7 @@ def _fitted(points, train: DataFrame, settings: ModelSettings) -> list[Model]:
     """One model per point, ``parallel_fits`` at a time."""
     def fit(point) -> Model:
         candidate, _, params = point
-        return candidate.estimator.fit(train, params)
+        return weighted(candidate.estimator, train).fit(train, params)
 
     with ThreadPool(max(1, settings.parallel_fits)) as pool:
         return pool.map(inheritable_thread_target(train.sparkSession)(fit), points, chunksize=1)
@@ -67,7 +67,8 @@ def _fitted(points, train: DataFrame, settings: ModelSettings) -> list[Model]:
 
 def _counted(points, models: Sequence[Model], held_out: DataFrame) -> DataFrame:
     """Cells (model, position, params, label, prediction, n) from one pass over the rows."""
-    scored = held_out.select("features", "label")
+    weight = [WEIGHT] if WEIGHT in held_out.columns else []
+    scored = held_out.select("features", "label", *weight)
     for i, model in enumerate(models):
         named = model.copy({model.predictionCol: f"p{i}", model.rawPredictionCol: "",
                             model.probabilityCol: ""})
@@ -76,7 +77,8 @@ def _counted(points, models: Sequence[Model], held_out: DataFrame) -> DataFrame:
         F.struct(F.lit(c.name).alias("model"), F.lit(position).alias("position"),
                  F.col(f"p{i}").alias("prediction"))
         for i, (c, position, _) in enumerate(points)])
-    cells = ev.confusion(scored.select("label", F.inline(found)), by=["model", "position"])
+    cells = ev.confusion(scored.select("label", *weight, F.inline(found)), by=["model", "position"],
+                         weight=next(iter(weight), None))
     params = F.lit(None).cast("map<string,string>")
     for c, position, point in points:
         pairs = [F.lit(x) for p, v in point.items() for x in (p.name, str(v))]

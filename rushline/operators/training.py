@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from rushline.operators import evaluation as ev
 from rushline.operators.features import slot_names, slot_source
+from rushline.sinks import scratch_uri, write_table
 from rushline.spec import LEVEL_INDEX, FeatureSpec, ModelSettings
 
 
@@ -58,10 +59,13 @@ def candidates(settings: ModelSettings = ModelSettings()) -> list[Candidate]:
 def cross_validate(candidate: Candidate, train: DataFrame, settings: ModelSettings,
                    fold: str | None = None) -> CrossValidatorModel:
     """k-fold search on weighted f1; ``fold`` names a fold column made from a key hash."""
+    evaluator = MulticlassClassificationEvaluator(metricName="f1")
+    if WEIGHT in train.columns:
+        evaluator.setWeightCol(WEIGHT)
     search = CrossValidator(
-        estimator=candidate.estimator,
+        estimator=weighted(candidate.estimator, train),
         estimatorParamMaps=candidate.grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
+        evaluator=evaluator,
         numFolds=settings.folds,
         parallelism=settings.parallel_fits,
         seed=settings.seed,
@@ -87,7 +91,14 @@ def fit_timed(candidate: Candidate, train: DataFrame, settings: ModelSettings,
     """The fitted (or best tuned) model and the seconds it took."""
     if settings.tune:
         return timed(lambda: cross_validate(candidate, train, settings, fold).bestModel)
-    return timed(lambda: candidate.estimator.fit(train))
+    return timed(lambda: weighted(candidate.estimator, train).fit(train))
+
+
+def weighted(estimator: Estimator, train: DataFrame) -> Estimator:
+    """The estimator, made to count each row by its weight where rows have one."""
+    if WEIGHT not in train.columns:
+        return estimator
+    return estimator.copy({estimator.getParam("weightCol"): WEIGHT})
 
 
 def timed(fit: Callable[[], Model]) -> tuple[Model, float]:
@@ -123,19 +134,48 @@ def training_layout(
     return rows.repartition(n, F.xxhash64(key, *rest)).sortWithinPartitions(key, *rest)
 
 
+#: The column of a training row that stands for several: how many.
+WEIGHT = "weight"
+
+
+def joined_rows(rows: DataFrame, most: int) -> DataFrame:
+    """Equal rows as few rows with a weight, ``most`` or less, and a number among equals.
+
+    Every row counts: the weights of a value add up to its rows. Counts fold in the
+    map tasks, so what is shuffled follows the distinct rows.
+    """
+    parts = F.ceil(F.col(WEIGHT) / most)
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(WEIGHT))
+    numbered = counted.withColumns({
+        "parts": parts, "part": F.explode(F.sequence(F.lit(1).cast("bigint"), parts))})
+    share = F.floor(F.col(WEIGHT) * F.col("part") / F.col("parts")) - F.floor(
+        F.col(WEIGHT) * (F.col("part") - 1) / F.col("parts"))
+    return numbered.select(*rows.columns, "part", share.cast("double").alias(WEIGHT))
+
+
 def training_vectors(
     train: DataFrame, feature_model: PipelineModel, key: str, columns: Sequence[str],
     settings: ModelSettings = ModelSettings(),
 ) -> DataFrame:
     """The laid-out training vectors, kept on the executors' disks for all fits.
 
-    The caller unpersists them after the last fit; what a lost executor held is
-    laid out again from the stored rows.
+    Beyond ``settings.whole_rows`` rows, equal ones (without the key) are joined and
+    have a weight, so fits grow with the distinct rows. All classifiers here add
+    weights up as they add rows up; a forest draws its rows by whole joined rows, of
+    which so many are left that no draw is coarser than that of ``whole_rows`` rows.
+    The caller unpersists the vectors after the last fit; what a lost executor held
+    is laid out again from the stored rows.
     """
-    laid_out = training_layout(
-        train.select(*dict.fromkeys([key, *columns])), key, train.count(), settings.partitions)
-    return feature_model.transform(laid_out).select("features", "label", "fold").persist(
-        StorageLevel.DISK_ONLY)
+    rows, n_rows = train.select(*dict.fromkeys([key, *columns])), train.count()
+    kept = ["features", *(c for c in ("label", "fold") if c in rows.columns)]
+    if n_rows > settings.whole_rows:
+        inputs = rows.select(*dict.fromkeys(columns))
+        rows, key = write_table(joined_rows(inputs, -(-n_rows // settings.whole_rows)), scratch_uri(
+            train.sparkSession, "joined_rows")), "part"
+        n_rows = rows.count()
+        kept.append(WEIGHT)
+    laid_out = training_layout(rows, key, n_rows, settings.partitions)
+    return feature_model.transform(laid_out).select(*kept).persist(StorageLevel.DISK_ONLY)
 
 
 REPORTED_PARAMS = (

@@ -93,6 +93,9 @@ class ModelSettings:
     tree_memory_mb: int = 1024
     # Partitions the training rows are laid out in; None follows their size.
     partitions: int | None = None
+    # Beyond this many training rows, equal ones are joined into rows with a weight,
+    # none above the rows divided by this.
+    whole_rows: int = 1 << 18
 
     def fitted_with(self, model: str, **params) -> ModelSettings:
         return replace(self, params={**self.params, model: {**self.params[model], **params}})

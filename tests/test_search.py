@@ -1,6 +1,7 @@
 """Grid search over shared folds, keyed results and resumed runs."""
 
 import sys
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,36 @@ def test_same_figures_as_sparks_own_search(spark, vectors):
     assert cells.agg(F.sum("n")).first()[0] == 9 * vectors.count()
 
 
+def test_joined_rows_count_as_their_rows(spark):
+    """Equal rows as weighted ones: fewer rows, the same trees, matrices and scores."""
+    features = FeatureSpec(scalars=("hour", "is_weekend"), categories=("weather_main",))
+    rows = ft.complete_rows(prepare(hourly_table(spark, 1_500)), features)
+    model, inputs = ft.fit_features(rows, features), [*features.inputs, "label", "fold"]
+    joined = replace(SMALL, whole_rows=300)
+    plain, few = (tr.training_vectors(rows, model, "date_time", inputs, s) for s in (SMALL, joined))
+    total = rows.count()
+    assert tr.WEIGHT not in plain.columns and plain.count() == total
+    most = -(-total // 300)
+    assert few.count() < total and few.agg(F.sum("weight"), F.max("weight")).first() == (total, most)
+    by = ["features", "label", "fold"]
+    assert {tuple(r) for r in few.groupBy(by).agg(F.sum("weight")).collect()} == {
+        tuple(r) for r in plain.groupBy(by).count().collect()}
+    tree = tr.candidates(SMALL)[1]
+    trees = [tr.fit_timed(tree, v, SMALL)[0].toDebugString.split("\n")[1:] for v in (plain, few)]
+    assert trees[0] == trees[1]
+    cells = {r: search.fold_cells(tr.candidates(SMALL), v, SMALL, search.cells_table(spark), r)
+             for r, v in (("plain", plain), ("few", few))}
+    of_tree = [sorted(tuple(x) for x in c.where("model = 'DecisionTree'").drop("run", "params").collect())
+               for c in cells.values()]
+    assert of_tree[0] == of_tree[1]
+    scores = {(r["model"], r["position"]): r["f1"] for r in search.grid_scores(cells["few"]).collect()}
+    for candidate in tr.candidates(SMALL):
+        for r in tr.cv_scores(spark, tr.cross_validate(candidate, few, SMALL, "fold")).collect():
+            assert scores[candidate.name, r["position"]] == pytest.approx(r["f1"], abs=1e-9)
+    for v in (plain, few):
+        v.unpersist()
+
+
 def test_finished_folds_are_not_fitted_again(spark, vectors, monkeypatch):
     candidates = tr.candidates(SMALL)[1:2]
     kept = search.cells_table(spark)
