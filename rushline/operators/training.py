@@ -43,7 +43,9 @@ ESTIMATORS = {
 def candidate(name: str, settings: ModelSettings = ModelSettings()) -> Candidate:
     """One classifier with its parameters and its tuning grid, all by name."""
     estimator = ESTIMATORS[name](**settings.params[name])
-    for shared, value in (("seed", settings.seed), ("maxMemoryInMB", settings.tree_memory_mb)):
+    # With the nodes that rows have reached kept, no pass of a deep tree starts at its root.
+    for shared, value in (("seed", settings.seed), ("maxMemoryInMB", settings.tree_memory_mb),
+                          ("cacheNodeIds", True)):
         if estimator.hasParam(shared):
             estimator.set(estimator.getParam(shared), value)
     grid = ParamGridBuilder()

@@ -42,6 +42,11 @@ def test_three_candidates_each_with_a_grid(spark):
     assert [len(c.grid) for c in tr.candidates()] == [6, 4, 4]
 
 
+def test_trees_keep_the_nodes_that_rows_have_reached(spark):
+    for name in ("DecisionTree", "RandomForest"):
+        assert _candidate(name).estimator.getCacheNodeIds()
+
+
 def test_split_is_stable_and_close_to_the_share(prepared):
     counts = {r["split"]: r["n"] for r in sp.split_counts(prepared).collect()}
     assert sum(counts.values()) == 4_000 and abs(counts["train"] / 4_000 - 0.8) < 0.03
