@@ -564,12 +564,12 @@ def cell_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(ruled, OBSERVED)
 
 
-def _training_set(rows, features=FeatureSpec()):
+def _training_set(rows, features=FeatureSpec(), folds=("fold",)):
     """(test rows, fitted feature stages, kept training vectors) of prepared rows."""
     train = ft.complete_rows(rows.filter(F.col("split") == "train"), features)
     feature_model = ft.fit_features(train, features)
     vectors = tr.training_vectors(
-        train, feature_model, "event_id", [*features.inputs, "label", "fold"])
+        train, feature_model, "event_id", [*features.inputs, "label", *folds])
     return rows.filter(F.col("split") == "test"), feature_model, vectors
 
 
@@ -638,7 +638,7 @@ def model_results(spark, sf_dir):
     result row that follow from the rows, and whether its metrics follow from its matrix."""
     features = FeatureSpec(scalars=("hour", "day_of_week", "is_weekend", "clouds_all"))
     test, feature_model, vectors = _training_set(
-        prepare(observations(spark, sf_dir), OBSERVED), features)
+        prepare(observations(spark, sf_dir), OBSERVED), features, folds=())
     table = None
     for position, candidate in enumerate(tr.candidates(SETTINGS)):
         fitted, seconds = tr.fit_timed(candidate, vectors, SETTINGS)

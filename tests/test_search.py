@@ -78,6 +78,16 @@ def test_joined_rows_count_as_their_rows(spark):
         v.unpersist()
 
 
+def test_rows_of_all_folds_are_joined_where_no_fold_is_asked_for(spark):
+    features = FeatureSpec(scalars=("is_weekend",), categories=())
+    rows = ft.complete_rows(prepare(hourly_table(spark, 600)), features)
+    vectors = tr.training_vectors(rows, ft.fit_features(rows, features), "date_time",
+                                  [*features.inputs, "label"], replace(SMALL, whole_rows=1))
+    assert vectors.columns == ["features", "label", "weight"] and vectors.count() <= 2 * 3
+    assert vectors.agg(F.sum("weight")).first()[0] == rows.count()
+    vectors.unpersist()
+
+
 def test_finished_folds_are_not_fitted_again(spark, vectors, monkeypatch):
     candidates = tr.candidates(SMALL)[1:2]
     kept = search.cells_table(spark)
