@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rushline.llm import mixing
-from rushline.llm.common import join_few, stored
+from rushline.llm.common import BATCH_BYTES, join_few, ship_package, stored
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -39,3 +39,19 @@ def test_weights_repeat_in_order_of_code_points(spark):
     assert rows[0].asDict().keys() == {"source", "tokens", "weight"}
     plan = mixing.ranked_weights(sources, (5, 2, 1))._jdf.queryExecution().toString()
     assert "ExistingRDD" not in plan and "Python" not in plan
+
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    """The pipeline's executors hold a batch outside their heap, the workers once more."""
+    ship_package(spark)
+
+    def measured(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    texts = spark.range(0, 1_000, numPartitions=1).select(F.repeat(F.lit("long text "), 2_000).alias("text"))
+    found = texts.mapInArrow(measured, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 1_000
+    assert max(r["size"] for r in found) <= 2 * BATCH_BYTES
